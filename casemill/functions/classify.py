@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from casemill import fixed_values as V
 from casemill.functions import patterns as P
 from casemill.functions import text as T
+from casemill.functions.once import once
 
 
 def category_rank(lowered: Column) -> Column:
@@ -75,9 +76,9 @@ def signals(text: Column, lowered: Column) -> dict[str, Column]:
 
 def classify(df: DataFrame, text: str = "text") -> DataFrame:
     """Add the six classified fields to rows holding ``text``."""
-    facts = df.withColumn("_lower", F.lower(F.col(text)))
+    facts = df.withColumn("_lower", once(F.lower(F.col(text))))
     facts = facts.withColumns(
-        {f"_{name}": value for name, value in signals(F.col(text), F.col("_lower")).items()}
+        {f"_{name}": once(value) for name, value in signals(F.col(text), F.col("_lower")).items()}
     )
     return with_labels(facts).drop("_lower", *[f"_{n}" for n in signals(F.lit(""), F.lit(""))])
 
@@ -114,4 +115,4 @@ def extract_record(df: DataFrame, text: str = "text", out: str = "extraction") -
             "resolution_provided": T.clean(F.coalesce(P.resolution_line(t), missing)),
         }
     )
-    return found.withColumn(out, F.struct(*V.RECORD_FIELDS)).drop(*V.RECORD_FIELDS)
+    return found.withColumn(out, once(F.struct(*V.RECORD_FIELDS))).drop(*V.RECORD_FIELDS)

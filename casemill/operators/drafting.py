@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from casemill import fixed_values as V
 from casemill.functions import prompts
 from casemill.functions import text as T
+from casemill.functions.once import once
 from casemill.operators import grounding as G
 from casemill.operators import validate
 from casemill.params import Params
@@ -134,9 +135,9 @@ def draft_with_columns(
         redo = ready if attempt == 0 else F.size(F.col(f"_issues{attempt - 1}")) > 0
         feedback = none if attempt == 0 else F.col(f"_issues{attempt - 1}")
         d, i = f"_draft{attempt}", f"_issues{attempt}"
-        out = out.withColumn(d, F.when(redo, drafts(attempt, feedback)))
-        out = out.withColumn(f"_text{attempt}", task.as_text(F.col(d)))
-        out = out.withColumn(i, F.when(redo, G.issue_list(F.col(f"_text{attempt}"))))
+        out = out.withColumn(d, once(F.when(redo, drafts(attempt, feedback))))
+        out = out.withColumn(f"_text{attempt}", once(task.as_text(F.col(d))))
+        out = out.withColumn(i, once(F.when(redo, G.issue_list(F.col(f"_text{attempt}")))))
         spent_in = prompts.estimate_tokens(
             F.lit(task.system(params)), prompts.draft_user(F.col(record), F.col(source), feedback)
         )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from casemill.functions import patterns as P
 from casemill.functions import text as T
+from casemill.functions.once import once
 from casemill.params import Params
 
 
@@ -31,12 +32,12 @@ def prepare_reference(df: DataFrame, source: Column, allowed: Column) -> DataFra
 
     They are computed once per row and serve any number of drafts of that row.
     """
-    with_text = df.withColumn("_ref", F.concat_ws("\n", source, allowed))
+    with_text = df.withColumn("_ref", once(F.concat_ws("\n", source, allowed)))
     return with_text.withColumns(
         {
-            "_ref_lower": F.lower("_ref"),
-            "_ref_closed": P.close_digit_gaps(F.col("_ref")),
-            "_ref_amounts": F.array_distinct(F.transform(P.all_amounts(F.col("_ref")), P.amount_key)),
+            "_ref_lower": once(F.lower("_ref")),
+            "_ref_closed": once(P.close_digit_gaps(F.col("_ref"))),
+            "_ref_amounts": once(F.array_distinct(F.transform(P.all_amounts(F.col("_ref")), P.amount_key))),
         }
     ).drop("_ref")
 
@@ -96,7 +97,7 @@ def check_grounding(
     """Add the sorted findings for ``text`` against ``source`` and ``allowed``."""
     return (
         prepare_reference(df, source, allowed)
-        .withColumn("_draft_text", text)
-        .withColumn(out, issue_list(F.col("_draft_text")))
+        .withColumn("_draft_text", once(text))
+        .withColumn(out, once(issue_list(F.col("_draft_text"))))
         .drop("_draft_text", *REFERENCE_COLUMNS)
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from casemill import fixed_values as V
 from casemill.functions import text as T
+from casemill.functions.once import once
 
 RECORD_TYPE = "struct<" + ",".join(f"{f}:string" for f in V.RECORD_FIELDS) + ">"
 EMAIL_TYPE = "struct<" + ",".join(f"{f}:string" for f in V.EMAIL_FIELDS) + ">"
@@ -21,7 +22,7 @@ def reasons(*checks: tuple[Column, str]) -> Column:
 def _parse(df: DataFrame, raw: str, fields: list[str], type_: str) -> DataFrame:
     """Add ``_keys`` and ``_in``: a NULL value is not the same as an absent key."""
     return df.withColumns(
-        {"_keys": F.json_object_keys(F.col(raw)), "_in": F.from_json(F.col(raw), type_)}
+        {"_keys": once(F.json_object_keys(F.col(raw))), "_in": once(F.from_json(F.col(raw), type_))}
     )
 
 
@@ -42,7 +43,7 @@ def _record_value(field: str) -> Column:
 
 def _finish(df: DataFrame, fields: list[str], problems: str, out: str) -> DataFrame:
     value = F.struct(*[F.col(f"_v_{f}").alias(f) for f in fields])
-    return df.withColumn(out, F.when(F.size(problems) == 0, value)).drop(
+    return df.withColumn(out, once(F.when(F.size(problems) == 0, value))).drop(
         "_keys", "_in", *[f"_v_{f}" for f in fields]
     )
 
@@ -50,13 +51,13 @@ def _finish(df: DataFrame, fields: list[str], problems: str, out: str) -> DataFr
 def parse_record(df: DataFrame, raw: str, out: str = "extraction", problems: str = "validation_errors") -> DataFrame:
     """Add the coerced record, NULL when rejected, and the reject reasons."""
     fields = V.RECORD_FIELDS
-    coerced = _parse(df, raw, fields, RECORD_TYPE).withColumns({f"_v_{f}": _record_value(f) for f in fields})
+    coerced = _parse(df, raw, fields, RECORD_TYPE).withColumns({f"_v_{f}": once(_record_value(f)) for f in fields})
     found = reasons(
         *[(_absent(f), f"missing:{f}") for f in fields],
         *[(~_absent(f) & F.col(f"_v_{f}").isNull(), f"invalid:{f}") for f in fields],
     )
     checked = coerced.withColumn(
-        problems, F.when(F.col("_keys").isNull(), F.array(F.lit("unparseable"))).otherwise(found)
+        problems, once(F.when(F.col("_keys").isNull(), F.array(F.lit("unparseable"))).otherwise(found))
     )
     return _finish(checked, fields, problems, out)
 
@@ -70,8 +71,8 @@ def parse_email(df: DataFrame, raw: str, out: str = "draft", problems: str = "va
     """Add the reply draft, NULL when its subject is empty or its body too short."""
     coerced = _parse(df, raw, V.EMAIL_FIELDS, EMAIL_TYPE).withColumns(
         {
-            "_v_subject": T.collapse(_draft_text(F.col("_in.subject"))),
-            "_v_body": T.strip(_draft_text(F.col("_in.body"))),
+            "_v_subject": once(T.collapse(_draft_text(F.col("_in.subject")))),
+            "_v_body": once(T.strip(_draft_text(F.col("_in.body")))),
         }
     )
     found = reasons(
@@ -81,7 +82,7 @@ def parse_email(df: DataFrame, raw: str, out: str = "draft", problems: str = "va
         (~_absent("body") & (F.length("_v_body") < V.MIN_BODY_CHARS), "invalid:body"),
     )
     checked = coerced.withColumn(
-        problems, F.when(F.col("_keys").isNull(), F.array(F.lit("unparseable"))).otherwise(found)
+        problems, once(F.when(F.col("_keys").isNull(), F.array(F.lit("unparseable"))).otherwise(found))
     )
     return _finish(checked, V.EMAIL_FIELDS, problems, out)
 
@@ -90,14 +91,14 @@ def parse_summary(df: DataFrame, raw: str, out: str = "draft", problems: str = "
     """Add the five-field summary draft, NULL when a field is absent or empty."""
     fields = V.SUMMARY_FIELDS
     coerced = _parse(df, raw, fields, SUMMARY_TYPE).withColumns(
-        {f"_v_{f}": T.collapse(_draft_text(F.col(f"_in.{f}"))) for f in fields}
+        {f"_v_{f}": once(T.collapse(_draft_text(F.col(f"_in.{f}")))) for f in fields}
     )
     found = reasons(
         *[(_absent(f), f"missing:{f}") for f in fields],
         *[(~_absent(f) & (F.col(f"_v_{f}") == ""), f"invalid:{f}") for f in fields],
     )
     checked = coerced.withColumn(
-        problems, F.when(F.col("_keys").isNull(), F.array(F.lit("unparseable"))).otherwise(found)
+        problems, once(F.when(F.col("_keys").isNull(), F.array(F.lit("unparseable"))).otherwise(found))
     )
     return _finish(checked, fields, problems, out)
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from casemill import fixed_values as V
 from casemill.functions import patterns as P
 from casemill.functions import text as T
+from casemill.functions.once import once
 
 
 def _given(value: Column) -> Column:
@@ -70,15 +71,15 @@ def verify_record(
     """
     r = F.col(record)
     prepared = df.withColumns(
-        {"_src": F.lower(F.col(source)), "_closed": P.close_digit_gaps(F.col(source))}
+        {"_src": once(F.lower(F.col(source))), "_closed": once(P.close_digit_gaps(F.col(source)))}
     )
     tested = prepared.withColumns(
         {
-            "_email_format": bad_email_format(r["email"]),
-            "_email": email_absent(r["email"], F.col("_src")),
-            "_phone": phone_absent(r["phone_number"], F.col("_closed")),
-            "_reference": reference_absent(r["reference_number"], F.col("_src")),
-            "_name": name_absent(r["customer_name"], F.col("_src")),
+            "_email_format": once(bad_email_format(r["email"])),
+            "_email": once(email_absent(r["email"], F.col("_src"))),
+            "_phone": once(phone_absent(r["phone_number"], F.col("_closed"))),
+            "_reference": once(reference_absent(r["reference_number"], F.col("_src"))),
+            "_name": once(name_absent(r["customer_name"], F.col("_src"))),
         }
     ).drop("_src", "_closed")
 
@@ -106,11 +107,13 @@ def verify_record(
             for f in V.RECORD_FIELDS
         ]
     )
-    fixed = found.withColumn(record, F.when(r.isNotNull(), corrected))
+    fixed = found.withColumn(record, once(F.when(r.isNotNull(), corrected)))
     return fixed.withColumn(
         warnings,
-        F.when(
-            F.col(record).isNotNull(),
-            F.array_compact(F.concat(F.col("_found"), F.array(*consistency_codes(F.col(record))))),
+        once(
+            F.when(
+                F.col(record).isNotNull(),
+                F.array_compact(F.concat(F.col("_found"), F.array(*consistency_codes(F.col(record))))),
+            )
         ),
     ).drop("_email_format", "_email", "_phone", "_reference", "_name", "_found")

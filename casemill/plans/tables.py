@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from casemill.session import Stage, spread
+
 K = "o_orderkey"
 C = "o_custkey"
 
@@ -218,11 +220,28 @@ FROM (
 """
 
 
+_written: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def text_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table whose rows are about to be worked on one by one."""
+    return spread(table(spark, sf_dir, name), key)
+
+
 def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order with everything the case queries start from."""
-    table(spark, sf_dir, "orders").createOrReplaceTempView("casemill_orders")
-    return spark.sql(CASES_SQL.replace("FROM orders", "FROM casemill_orders"))
+    """One row per order with everything the case queries start from.
+
+    The documents are written to the shared folder on first use and scanned from there, as
+    documents would be in practice: with pruned columns and pushed filters.
+    """
+    known = (spark.sparkContext.applicationId, sf_dir)
+    if known not in _written:
+        orders = spread(table(spark, sf_dir, "orders"), "o_orderkey")
+        orders.createOrReplaceTempView("casemill_orders")
+        rows = spark.sql(CASES_SQL.replace("FROM orders", "FROM casemill_orders"))
+        _written[known] = Stage(spark).write(rows)
+    return _written[known]
