@@ -28,8 +28,14 @@ def is_complaint(lowered: Column) -> Column:
     return ~T.has_any(lowered, V.NON_COMPLAINT_PHRASES)
 
 
-def is_escalated(text: Column) -> Column:
-    return F.rlike(text, F.lit(P.ESCALATION))
+def is_escalated(text: Column, lowered: Column) -> Column:
+    """One of the words in any letter case.
+
+    Lower-casing settles it except for three letters that fold to ``s`` or ``i`` only when
+    compared without case; texts holding one of them are put to the pattern.
+    """
+    odd = F.rlike(text, F.lit(P.ODD_FOLDS)) & F.rlike(text, F.lit(P.ESCALATION))
+    return T.has_any(lowered, V.ESCALATION_WORDS) | odd
 
 
 def has_document(lowered: Column) -> Column:
@@ -64,7 +70,7 @@ def signals(text: Column, lowered: Column) -> dict[str, Column]:
     return {
         "category_rank": category_rank(lowered),
         "complaint": is_complaint(lowered),
-        "escalated": is_escalated(text),
+        "escalated": is_escalated(text, lowered),
         "resolved": T.has_any(lowered, V.RESOLVED_PHRASES),
         "waiting": T.has_any(lowered, V.WAITING_PHRASES),
         "in_progress": T.has_any(lowered, V.IN_PROGRESS_PHRASES),
@@ -103,16 +109,17 @@ def with_labels(facts: DataFrame) -> DataFrame:
 def extract_record(df: DataFrame, text: str = "text", out: str = "extraction") -> DataFrame:
     """Add the thirteen-field record derived from ``text`` by rules alone."""
     t = F.col(text)
-    missing = T.sentinel()
-    found = classify(df, text).withColumns(
-        {
-            "customer_name": T.clean(F.coalesce(P.person_name(t), missing)),
-            "email": T.lower_email(T.clean(F.coalesce(P.first_email(t), missing))),
-            "phone_number": T.clean(F.coalesce(P.first_phone(t), missing)),
-            "reference_number": T.clean(F.coalesce(P.first_reference(t), missing)),
-            "product_or_service": missing,
-            "issue_description": T.clean(T.leading_sentences(t)),
-            "resolution_provided": T.clean(F.coalesce(P.resolution_line(t), missing)),
-        }
+    raw = {
+        "customer_name": P.person_name(t),
+        "email": P.first_email(t),
+        "phone_number": P.first_phone(t),
+        "reference_number": P.first_reference(t),
+        "product_or_service": F.lit(None).cast("string"),
+        "issue_description": T.leading_sentences(t),
+        "resolution_provided": P.resolution_line(t),
+    }
+    found = classify(df, text).withColumns({f: once(value) for f, value in raw.items()})
+    cleaned = found.withColumns({f: T.clean(F.col(f)) for f in raw}).withColumn(
+        "email", T.lower_email(F.col("email"))
     )
-    return found.withColumn(out, once(F.struct(*V.RECORD_FIELDS))).drop(*V.RECORD_FIELDS)
+    return cleaned.withColumn(out, once(F.struct(*V.RECORD_FIELDS))).drop(*V.RECORD_FIELDS)

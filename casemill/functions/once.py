@@ -12,7 +12,9 @@ def once(value: Column) -> Column:
     A filter on a derived column is normally rewritten in terms of the scan, so a chain of
     text rules is evaluated again inside the filter, and a chain of chains grows without
     bound. A column that depends on the partition id is never copied: the filter stays
-    above it and reads the finished value. Pruning of unused columns is not affected.
-    Filters that can run before the text rules belong before them.
+    above it and reads the finished value. Pruning of unused columns is not affected, and
+    repeated parts inside ``value`` are still computed once. Filters that can run before
+    the text rules belong before them.
     """
-    return F.when(F.spark_partition_id() >= 0, value)
+    zero = F.least(F.spark_partition_id(), F.lit(0))
+    return F.array(value).getItem(zero)

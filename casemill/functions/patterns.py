@@ -6,11 +6,17 @@ Two rules hold for every pattern here:
   list) instead of relying on ``\\d \\w \\s \\b``, whose reach differs between engines;
 * repeats that could be cut in more than one way are made possessive, or anchored
   at the start of their run, so matching stays linear in the text even on a
-  megabyte of one repeated character.
+  megabyte of one repeated character;
+* what is tested at every position is cheap: word lists are guarded by the set of their
+  first letters, classes used everywhere name their characters one by one (a table
+  lookup for the regex engine), printable ASCII is turned down before the list of wide
+  spaces is looked at.
 """
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,29 +24,50 @@ from casemill import fixed_values as V
 
 # White space, as members of a character class.
 _WIDE_WS = r"\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-WS = rf"\t-\r\x1c-\x20{_WIDE_WS}"
-WS_NOT_NL = rf"\t\x0b-\r\x1c-\x20{_WIDE_WS}"
-WS_NOT_SPACE = rf"\t-\r\x1c-\x1f{_WIDE_WS}"
+WS = rf"\t\n\x0b\f\r\x1c\x1d\x1e\x1f\x20{_WIDE_WS}"
+WS_NOT_NL = rf"\t\x0b\f\r\x1c\x1d\x1e\x1f\x20{_WIDE_WS}"
+WS_NOT_SPACE = rf"\t\n\x0b\f\r\x1c\x1d\x1e\x1f{_WIDE_WS}"
+# The same as whole classes that turn printable ASCII down first.
+ANY_WS = rf"[[^!-~]&&[{WS}]]"
+ANY_WS_NOT_NL = rf"[[^!-~]&&[{WS_NOT_NL}]]"
+ANY_WS_NOT_SPACE = rf"[[^ -~]&&[{WS_NOT_SPACE}]]"
+# The same as plain characters, for trimming.
+WS_CHARS = (
+    "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(chr(c) for c in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
 WORD = r"\p{L}\p{N}_"
 NOT_AFTER_WORD = rf"(?<![{WORD}])"
 NOT_BEFORE_WORD = rf"(?![{WORD}])"
 
+# Letters outside ASCII that equal an ASCII letter when compared without case.
+_ODD_FOLDS = {"i": r"\x{130}\x{131}", "k": r"\x{212A}", "s": r"\x{17F}"}
+
+
+def _any_case(words: list[str]) -> str:
+    """One of the words in any letter case, tried only at their first letters."""
+    first = sorted({w[0].lower() for w in words})
+    guard = "".join(c + c.upper() + _ODD_FOLDS.get(c, "") for c in first)
+    return rf"(?=[{guard}])(?iu:{'|'.join(words)})"
+
+
 # The shapes of the five scanned item kinds.
-_LOCAL = r"A-Za-z0-9._%+'-"
+_LOCAL = string.ascii_letters + string.digits + "._%+'-"
 _DOMAIN = r"@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 _PHONE_CORE = (
     rf"(?:\+?\p{{Nd}}{{1,3}}[{WS}.-]?)?\(?\p{{Nd}}{{3}}\)?[{WS}.-]?\p{{Nd}}{{3}}[{WS}.-]?\p{{Nd}}{{4}}"
 )
 EMAIL = rf"(?:\G|(?<![{_LOCAL}]))[{_LOCAL}]++{_DOMAIN}"
 EMAIL_FULL = rf"\A[{_LOCAL}]++{_DOMAIN}\z"
-PHONE = rf"(?<![{WORD}-]){_PHONE_CORE}(?![{WORD}-])"
+PHONE = rf"(?=[+(\p{{Nd}}])(?<![{WORD}-]){_PHONE_CORE}(?![{WORD}-])"
 PHONE_LOOSE = _PHONE_CORE
 MONEY = (
-    rf"(?iu)(?:[{V.CURRENCY_SIGNS}][{WS}]?|{NOT_AFTER_WORD}(?:{'|'.join(V.CURRENCY_CODES)})[{WS}]?)"
+    rf"(?:[{V.CURRENCY_SIGNS}]|{_any_case(V.CURRENCY_CODES).replace('(?iu:', NOT_AFTER_WORD + '(?iu:')})[{WS}]?"
     r"\p{Nd}[\p{Nd},]*+(?:\.\p{Nd}{1,2})?"
 )
 REFERENCE = (
-    rf"{NOT_AFTER_WORD}[A-Z]{{2,6}}-\p{{Nd}}{{3,}}+{NOT_BEFORE_WORD}(?:-\p{{Nd}}++{NOT_BEFORE_WORD})*+"
+    rf"(?=[{string.ascii_uppercase}]){NOT_AFTER_WORD}[A-Z]{{2,6}}-\p{{Nd}}{{3,}}+{NOT_BEFORE_WORD}(?:-\p{{Nd}}++{NOT_BEFORE_WORD})*+"
 )
 PLACEHOLDER = (
     r"\[(?:[A-Z][A-Za-z ]{1,30}|insert[^\]]*+|your [^\]]*+)\]"
@@ -48,11 +75,12 @@ PLACEHOLDER = (
     r"|<[A-Z][A-Za-z ]{2,30}>"
 )
 _PERSON = r"([A-Z][A-Za-z'.-]+(?:[ \t]+[A-Z][A-Za-z'.-]+){0,3})"
-NAME_AFTER_LABEL = rf"(?iu:{'|'.join(V.NAME_LABELS)})[{WS}]*+(?:[:|][{WS}]*+)?{_PERSON}"
-NAME_AFTER_SIGN_OFF = rf"(?iu:{'|'.join(V.SIGN_OFFS)})[,!]?[{WS_NOT_NL}]*+\n[{WS}]*+{_PERSON}"
-THROUGH_DESCRIPTION = rf"(?isu)\A.*?(?:{'|'.join(V.DESCRIPTION_HEADINGS)})[{WS}]*+[:|][{WS}]*+"
-RESOLUTION_LINE = rf"(?iu)(?:{'|'.join(V.RESOLUTION_HEADINGS)})[^:\n]*[:|\n][{WS}]*([^\n]+)"
-ESCALATION = rf"(?iu){'|'.join(V.ESCALATION_WORDS)}"
+NAME_AFTER_LABEL = rf"{_any_case(V.NAME_LABELS)}[{WS}]*+(?:[:|][{WS}]*+)?{_PERSON}"
+NAME_AFTER_SIGN_OFF = rf"{_any_case(V.SIGN_OFFS)}[,!]?[{WS_NOT_NL}]*+\n[{WS}]*+{_PERSON}"
+THROUGH_DESCRIPTION = rf"(?s)\A.*?{_any_case(V.DESCRIPTION_HEADINGS)}[{WS}]*+[:|][{WS}]*+"
+RESOLUTION_LINE = rf"{_any_case(V.RESOLUTION_HEADINGS)}[^:\n]*[:|\n][{WS}]*([^\n]+)"
+ESCALATION = _any_case(V.ESCALATION_WORDS)
+ODD_FOLDS = rf"[{''.join(_ODD_FOLDS.values())}]"
 NON_DIGITS = r"\P{Nd}+"
 SHORT_DIGIT_GAP = rf"(?<=\p{{Nd}})\P{{Nd}}{{1,{V.MAX_DIGIT_GAP}}}(?=\p{{Nd}})"
 
@@ -86,15 +114,16 @@ def all_placeholders(text: Column) -> Column:
 
 
 def first_email(text: Column) -> Column:
-    return F.when(F.contains(text, F.lit("@")), F.regexp_substr(text, F.lit(EMAIL)))
+    """First e-mail address, else an empty string; likewise the two functions below."""
+    return F.regexp_extract(text, EMAIL, 0)
 
 
 def first_phone(text: Column) -> Column:
-    return F.regexp_substr(text, F.lit(PHONE_LOOSE))
+    return F.regexp_extract(text, PHONE_LOOSE, 0)
 
 
 def first_reference(text: Column) -> Column:
-    return F.when(F.contains(text, F.lit("-")), F.regexp_substr(text, F.lit(REFERENCE)))
+    return F.regexp_extract(text, REFERENCE, 0)
 
 
 def is_email(value: Column) -> Column:
@@ -102,14 +131,15 @@ def is_email(value: Column) -> Column:
 
 
 def person_name(text: Column) -> Column:
-    """Name after a label, else the name under a sign-off, else NULL."""
+    """Name after a label, else the name under a sign-off, else an empty string."""
     labelled = F.regexp_extract(text, NAME_AFTER_LABEL, 1)
     signed = F.regexp_extract(text, NAME_AFTER_SIGN_OFF, 1)
-    return F.coalesce(F.nullif(labelled, F.lit("")), F.nullif(signed, F.lit("")))
+    return F.coalesce(F.nullif(labelled, F.lit("")), signed)
 
 
 def resolution_line(text: Column) -> Column:
-    return F.nullif(F.regexp_extract(text, RESOLUTION_LINE, 1), F.lit(""))
+    """What stands after a resolution heading, else an empty string."""
+    return F.regexp_extract(text, RESOLUTION_LINE, 1)
 
 
 def digits(text: Column) -> Column:

@@ -16,19 +16,27 @@ def sentinel() -> Column:
 
 
 def strip(text: Column) -> Column:
-    """White space removed from both ends (SQL ``trim`` only knows the space)."""
-    return F.regexp_replace(text, rf"\A[{P.WS}]++|(?<![{P.WS}])[{P.WS}]++\z", "")
+    """White space removed from both ends (SQL ``trim`` alone only knows the space)."""
+    return F.btrim(text, F.lit(P.WS_CHARS))
 
 
 def collapse(text: Column) -> Column:
-    """Runs of white space become one space; none at the ends."""
-    return F.trim(F.regexp_replace(text, rf"[{P.WS}]+", " "))
+    """Runs of white space become one space; none at the ends.
+
+    Only a run that is not a single space is matched, so ordinary text is left alone.
+    """
+    runs = rf"{P.ANY_WS_NOT_SPACE}{P.ANY_WS}*+| {P.ANY_WS}++"
+    return F.trim(F.regexp_replace(text, runs, " "))
 
 
 def normalise(text: Column) -> Column:
     """NULs dropped, one newline style, lines right-trimmed, blank runs squeezed, ends stripped."""
-    lf = F.regexp_replace(F.replace(text, F.lit("\x00"), F.lit("")), r"\r\n?", "\n")
-    trimmed = F.regexp_replace(lf, rf"(?<![{P.WS_NOT_NL}])[{P.WS_NOT_NL}]++(?=\n|\z)", "")
+    steps = [("\x00", ""), ("\r\n", "\n"), ("\r", "\n")]
+    lf = text
+    for old, new in steps:
+        lf = F.replace(lf, F.lit(old), F.lit(new))
+    ws = P.ANY_WS_NOT_NL
+    trimmed = F.regexp_replace(lf, rf"{ws}(?<!{ws}{ws}){ws}*+(?=\n|\z)", "")
     return strip(F.regexp_replace(trimmed, r"\n{3,}+", "\n\n"))
 
 
@@ -93,7 +101,7 @@ def leading_sentences(text: Column, n: int = V.ISSUE_SENTENCES, max_chars: int =
     # The split limit keeps the rest of a long text in one piece.
     sentences = F.slice(F.split(body, r"(?<=[.!?]) ", n + 1), 1, n)
     lead = F.left(F.array_join(sentences, " "), F.lit(max_chars))
-    return F.coalesce(F.nullif(lead, F.lit("")), sentinel())
+    return F.regexp_replace(lead, r"\A\z", V.NOT_PROVIDED)
 
 
 def between(text: Column, start: str, end: str) -> Column:
