@@ -17,4 +17,4 @@ def once(value: Column) -> Column:
     the text rules belong before them.
     """
     zero = F.least(F.spark_partition_id(), F.lit(0))
-    return F.array(value).getItem(zero)
+    return F.array(value)[zero]

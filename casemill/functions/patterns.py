@@ -69,11 +69,12 @@ MONEY = (
 REFERENCE = (
     rf"(?=[{string.ascii_uppercase}]){NOT_AFTER_WORD}[A-Z]{{2,6}}-\p{{Nd}}{{3,}}+{NOT_BEFORE_WORD}(?:-\p{{Nd}}++{NOT_BEFORE_WORD})*+"
 )
-PLACEHOLDER = (
-    r"\[(?:[A-Z][A-Za-z ]{1,30}|insert[^\]]*+|your [^\]]*+)\]"
-    rf"|\{{\{{?(?:[{WS}]*+[a-z_][a-z_ ]*+[{WS}]*+|[{WS_NOT_SPACE}]*+ [{WS}]*+)\}}?\}}"
+_CLOSED_PLACEHOLDER = r"\[(?:[A-Z][A-Za-z ]{1,30}|insert[^\]]*+|your [^\]]*+)\]"
+_OTHER_PLACEHOLDER = (
+    rf"\{{\{{?(?:[{WS}]*+[a-z_][a-z_ ]*+[{WS}]*+|[{WS_NOT_SPACE}]*+ [{WS}]*+)\}}?\}}"
     r"|<[A-Z][A-Za-z ]{2,30}>"
 )
+PLACEHOLDER = f"{_CLOSED_PLACEHOLDER}|{_OTHER_PLACEHOLDER}"
 _PERSON = r"([A-Z][A-Za-z'.-]+(?:[ \t]+[A-Z][A-Za-z'.-]+){0,3})"
 NAME_AFTER_LABEL = rf"{_any_case(V.NAME_LABELS)}[{WS}]*+(?:[:|][{WS}]*+)?{_PERSON}"
 NAME_AFTER_SIGN_OFF = rf"{_any_case(V.SIGN_OFFS)}[,!]?[{WS_NOT_NL}]*+\n[{WS}]*+{_PERSON}"
@@ -110,7 +111,15 @@ def all_references(text: Column) -> Column:
 
 
 def all_placeholders(text: Column) -> Column:
-    return _all(text, PLACEHOLDER)
+    """Every template placeholder.
+
+    Behind the last closing bracket no bracketed placeholder can end, so none is looked
+    for there: an opening without an end would be followed to the end of the text each
+    time. No other placeholder contains that bracket, so nothing is cut apart.
+    """
+    tail = F.substring_index(text, "]", -1)
+    head = F.left(text, F.length(text) - F.length(tail))
+    return F.concat(_all(head, PLACEHOLDER), _all(tail, _OTHER_PLACEHOLDER))
 
 
 def first_email(text: Column) -> Column:

@@ -47,22 +47,23 @@ def compare(spark, con, sf_dir: str, fn, sql: str) -> str:
 
 
 def main() -> None:
+    import __spark_entry__ as contract
     from casemill import build_session
-    from casemill.plans.queries import ORACLE, QUERIES
 
+    queries, oracle = contract.queries(), contract.oracle_sql()
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     only = sys.argv[2:]
     spark = build_session(master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__driver__memory="8g")
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     failed = []
-    for name, fn in QUERIES.items():
+    for name, fn in queries.items():
         if only and name not in only:
             continue
         started = time.perf_counter()
         try:
-            if name in ORACLE:
-                problem = compare(spark, con, sf_dir, fn, ORACLE[name])
+            if name in oracle:
+                problem = compare(spark, con, sf_dir, fn, oracle[name])
             else:
                 problem = "" if fn(spark, sf_dir).count() else "no rows"
         except Exception as exc:  # noqa: BLE001 - reported per query

@@ -129,14 +129,6 @@ def test_failed_second_draft_reports_only_its_error(spark):
     assert row.customer_email_warnings is None and row.customer_email_calls == 0 and row.customer_email_input_tokens == 0
 
 
-class AuthenticationError(Exception):
-    pass
-
-
-class RefusedKey(AuthenticationError):
-    pass
-
-
 def test_retry_waves(spark, tmp_path):
     """Transient failures are repeated, refused keys are not, bad output is."""
     log = str(tmp_path)
@@ -145,6 +137,12 @@ def test_retry_waves(spark, tmp_path):
         import os
         import uuid
 
+        class AuthenticationError(Exception):
+            pass
+
+        class RefusedKey(AuthenticationError):
+            pass
+
         seen = len([f for f in os.listdir(log) if f.startswith(user)])
         open(f"{log}/{user}-{uuid.uuid4().hex}", "w").close()
         if user == "refused":
