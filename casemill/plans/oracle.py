@@ -108,7 +108,8 @@ def amount_key(x: str) -> str:
 
 
 def digits_found(number: str, text: str) -> str:
-    pattern = rf"regexp_replace({number}, '(\p{{Nd}})', '\1\\P{{Nd}}{{0,3}}', 'g')"
+    # The case tables hold ASCII digits only; the short class keeps the many patterns cheap to build.
+    pattern = rf"regexp_replace({number}, '([0-9])', '\1[^0-9]{{0,3}}', 'g')"
     return f"(length({number}) BETWEEN 1 AND 20 AND regexp_matches({text}, {pattern}))"
 
 
