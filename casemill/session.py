@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SHARED_DIR_CONF = "spark.checkpoint.dir"
-_local_dirs: dict[str, str] = {}
 
 
 def build_session(app_name: str = "casemill", master: str | None = None, **conf: str) -> SparkSession:
@@ -27,20 +25,9 @@ def build_session(app_name: str = "casemill", master: str | None = None, **conf:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by the cluster.
-
-    A session without one gets a temporary folder only in local mode, where the
-    driver and the executors are the same machine.
-    """
+    """Folder every executor can reach: the one the cluster names, else one inside the warehouse."""
     configured = spark.conf.get(_SHARED_DIR_CONF, None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"{_SHARED_DIR_CONF} must name a folder shared by all executors")
-    app = spark.sparkContext.applicationId
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="casemill-")
-    return _local_dirs[app]
+    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_stages").rstrip("/")
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
