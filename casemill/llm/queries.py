@@ -3,20 +3,90 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from casemill.llm import exact_dedup
+from casemill.llm import byte_bpe, exact_dedup, mixing, near_dedup, toxicity
 from casemill.llm.common import table
 
 
+def op1_hash_threshold_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("copies")
+
+
+def op2_minhash_hamming_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, sf_dir, "documents")).drop("row")
+
+
 def op8_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def vocabulary() -> tuple[dict[bytes, int], str]:
+    """Ranks and pattern of the public byte-level vocabulary, from the driver's installation."""
+    import public_tokenizers
+
+    return byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN
+
+
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trip = byte_bpe.round_trip(table(spark, sf_dir, "documents"), *vocabulary())
+    return trip.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op10_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
+    "op1_hash_threshold_mix": op1_hash_threshold_mix,
+    "op2_minhash_hamming_join": op2_minhash_hamming_join,
     "op8_chunk_recipes": op8_chunk_recipes,
+    "op9_byte_bpe": op9_byte_bpe,
+    "op10_ftrl_toxicity": op10_ftrl_toxicity,
 }
 
 ORACLE = {
+    "op1_hash_threshold_mix": r"""
+        WITH docs AS (
+            SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+                   ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h
+            FROM documents
+        ), sources AS (
+            SELECT source, sum(size)::BIGINT AS source_size, 2.0::DOUBLE * sum(size)::DOUBLE AS cap,
+                   [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS w
+            FROM docs GROUP BY source
+        ), rising AS (
+            SELECT *, sum(source_size) OVER ()::DOUBLE * 1.5 AS total,
+                   coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS spent,
+                   sum(w) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_w,
+                   row_number() OVER (ORDER BY cap / w, source NULLS LAST) AS k
+            FROM sources
+        ), cut AS (
+            SELECT min(k) FILTER ((total - spent) * w / open_w <= cap) AS k FROM rising
+        ), targets AS (
+            SELECT r.source, r.source_size,
+                   CASE WHEN r.k < c.k OR c.k IS NULL THEN r.cap ELSE (f.total - f.spent) * r.w / f.open_w END AS target
+            FROM rising r CROSS JOIN cut c LEFT JOIN rising f ON f.k = c.k
+        ), plan AS (
+            SELECT *, CASE WHEN source_size > 0 THEN least(floor(target / source_size), 2) ELSE 0 END AS base FROM targets
+        ), steps AS (
+            SELECT source, h, sum(size) AS words, sum(sum(size)) OVER (PARTITION BY source ORDER BY h) AS upto_here
+            FROM docs GROUP BY source, h
+        ), crossing AS (
+            SELECT p.source, min(struct_pack(h := s.h, words := s.words, upto_here := s.upto_here)) AS b
+            FROM plan p JOIN steps s ON p.source IS NOT DISTINCT FROM s.source
+                AND s.upto_here > p.target - p.base * p.source_size
+            GROUP BY p.source
+        ), limits AS (
+            SELECT p.*, CASE WHEN p.base >= 2 OR p.target <= 0 THEN -1 WHEN c.b IS NULL THEN 1::BIGINT << 61
+                WHEN c.b.upto_here - (p.target - p.base * p.source_size)
+                     <= (p.target - p.base * p.source_size) - (c.b.upto_here - c.b.words) THEN c.b.h ELSE c.b.h - 1 END AS upto
+            FROM plan p LEFT JOIN crossing c ON p.source IS NOT DISTINCT FROM c.source
+        )
+        SELECT d.doc_id, d.source, d.size, l.source_size, l.target,
+               (d.size * (l.base + CASE WHEN d.h <= l.upto THEN 1 ELSE 0 END))::BIGINT AS taken
+        FROM docs d JOIN limits l ON d.source IS NOT DISTINCT FROM l.source
+    """,
     "op8_chunk_recipes": """
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
