@@ -5,9 +5,9 @@ between them, hashed to ``DIMENSIONS`` coordinates. Each coordinate has its own
 the L1 term keeps a coordinate at exactly zero until its evidence is strong, so the model is a short
 list of (coordinate, weight): never more than ``DIMENSIONS`` entries, which bounds the broadcast.
 
-Training reads at most about ``TRAIN_ROWS`` labelled rows, whatever the table's size: those whose id
-hashes below a threshold set from the number of labelled rows. They are dealt to ``SHARDS`` learners
-by hash; every round, each learner goes on from the common weights and the results are averaged.
+Training reads about ``TRAIN_ROWS`` labelled rows at most, whatever the table's size: those whose id
+hashes below a threshold set from the number of labelled rows. Their features are made in parallel;
+the learner, which must see rows one after another, gets this bounded sample in one task.
 """
 
 from __future__ import annotations
@@ -23,11 +23,13 @@ from pyspark.sql import functions as F
 from casemill.llm.common import stage, text_of
 from casemill.llm.words import mix, odd_constants, word_numbers
 
-#: Bound of the labelled rows that training reads (as an expected number), learners, and rounds.
-TRAIN_ROWS, SHARDS, ROUNDS, EPOCHS = 20_000, 4, 2, 2
+#: Bound of the labelled rows that training reads (as an expected number), and passes over them.
+TRAIN_ROWS, EPOCHS = 12_000, 6
 DIMENSIONS = 1 << 20
-#: FTRL: learning rate, its offset, L1 and L2.
-ALPHA, BETA, L1, L2 = 0.5, 1.0, 1.0, 0.1
+#: FTRL: learning rate, its offset, L2, and L1 as a multiple of the root of the rows with label 1.
+ALPHA, BETA, L2, L1_SHARE = 2.0, 1.0, 0.01, 1.5
+#: How much more a row of label 1 counts; they are few.
+ONES_WEIGHT = 8.0
 #: The constant feature keeps no L1, and its weight is the last entry.
 THRESHOLD = 0.7
 
@@ -53,32 +55,31 @@ def _labelled_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         at, of = features(*word_numbers(batch.column("text")))
         ends = np.searchsorted(of, np.arange(batch.num_rows + 1))
         lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(at, pa.int32()))
-        yield pa.RecordBatch.from_arrays([batch.column("shard"), batch.column("ord"), batch.column("label"), lists], ["shard", "ord", "label", "at"])
-
-
-def _learner(start: np.ndarray, epochs: int):
-    def learn(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["ord", "label"], kind="stable")
-        z, n = np.zeros(DIMENSIONS + 1), np.zeros(DIMENSIONS + 1)
-        l1 = np.full(DIMENSIONS + 1, L1)
-        l1[-1] = 0.0
-        # Start so that the weights come out as ``start`` while no gradient has been seen.
-        z[:] = -start * (BETA / ALPHA + L2) - np.sign(start) * l1
-        texts = [np.append(np.asarray(a, dtype=np.int64), DIMENSIONS) for a in rows["at"]]
-        for _ in range(epochs):
-            for at, y in zip(texts, rows["label"].tolist(), strict=True):
-                zi, ni, li = z[at], n[at], l1[at]
-                w = np.where(np.abs(zi) <= li, 0.0, -(zi - np.sign(zi) * li) / ((BETA + np.sqrt(ni)) / ALPHA + L2))
-                p = 1.0 / (1.0 + np.exp(-np.clip(w.sum(), -30, 30)))
-                g = p - y
-                sigma = (np.sqrt(ni + g * g) - np.sqrt(ni)) / ALPHA
-                z[at] = zi + g - sigma * w
-                n[at] = ni + g * g
-        w = np.where(np.abs(z) <= l1, 0.0, -(z - np.sign(z) * l1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
-        at = np.flatnonzero(w)
-        return pd.DataFrame({"at": at, "w": w[at]})
-
-    return learn
+        yield pa.RecordBatch.from_arrays([batch.column("ord"), batch.column("label"), lists], ["ord", "label", "at"])
+
+
+def _weights(z: np.ndarray, n: np.ndarray, l1: np.ndarray) -> np.ndarray:
+    return np.where(np.abs(z) <= l1, 0.0, -(z - np.sign(z) * l1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
+
+
+def _learn(rows: pd.DataFrame) -> pd.DataFrame:
+    """Weights of the coordinates that are not zero, from all rows of the sample in hash order."""
+    rows = rows.sort_values(["ord", "label"], kind="stable")
+    z, n = np.zeros(DIMENSIONS + 1), np.zeros(DIMENSIONS + 1)
+    l1 = np.full(DIMENSIONS + 1, L1_SHARE * np.sqrt(rows["label"].sum()))
+    l1[-1] = 0.0
+    texts = [np.append(np.asarray(a, dtype=np.int64), DIMENSIONS) for a in rows["at"]]
+    for _ in range(EPOCHS):
+        for at, y in zip(texts, rows["label"].tolist(), strict=True):
+            zi, ni = z[at], n[at]
+            w = _weights(zi, ni, l1[at])
+            p = 1.0 / (1.0 + np.exp(-np.clip(w.sum(), -30, 30)))
+            g = (p - y) * (ONES_WEIGHT if y else 1.0)
+            z[at] = zi + g - (np.sqrt(ni + g * g) - np.sqrt(ni)) / ALPHA * w
+            n[at] = ni + g * g
+    w = _weights(z, n, l1)
+    at = np.flatnonzero(w)
+    return pd.DataFrame({"at": at, "w": w[at]})
 
 
 def train(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -97,17 +98,13 @@ def train(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     if not ones or ones == total:
         return np.zeros(0, np.int64), np.array([np.log((ones + 0.5) / (total - ones + 0.5)) if total else -30.0])
     sample = known.filter(share < F.lit(min(1.0, TRAIN_ROWS / total))).select(
-        F.pmod(F.xxhash64(order), F.lit(SHARDS)).cast("int").alias("shard"), order.alias("ord"),
-        F.col("label").cast("int").alias("label"), text_of().alias("text"),
-    )
-    rows = written.write(sample.mapInArrow(_labelled_features, "shard int, ord long, label int, at array<int>"))
+        order.alias("ord"), F.col("label").cast("int").alias("label"), text_of().alias("text")
+    )
+    rows = written.write(sample.mapInArrow(_labelled_features, "ord long, label int, at array<int>"))
+    # At most DIMENSIONS + 1 numbers reach the driver.
+    learned = rows.withColumn("model", F.lit(0)).groupBy("model").applyInPandas(_learn, "at long, w double").toPandas()
     weights = np.zeros(DIMENSIONS + 1)
-    for _ in range(ROUNDS):
-        learned = rows.groupBy("shard").applyInPandas(_learner(weights, EPOCHS), "at long, w double")
-        # At most DIMENSIONS + 1 sums reach the driver.
-        mean = learned.groupBy("at").agg(F.sum("w").alias("w")).toPandas().sort_values("at")
-        weights = np.zeros(DIMENSIONS + 1)
-        weights[mean["at"].to_numpy()] = mean["w"].to_numpy() / SHARDS
+    weights[learned["at"].to_numpy()] = learned["w"].to_numpy()
     at = np.flatnonzero(weights[:-1])
     return at, np.append(weights[at], weights[-1])
 

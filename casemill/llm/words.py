@@ -77,7 +77,8 @@ def shingle_numbers(numbers: np.ndarray, begins: np.ndarray, width: int = 5) ->
         if b - a >= width:
             out.append(runs[a : b - width + 1])
         elif b > a:
-            out.append(mix(np.array([np.sum(numbers[a:b] * factors[: b - a], dtype=np.uint64) + _U(b - a) * _GOLDEN], dtype=np.uint64)))
+            short = np.sum(numbers[a:b] * factors[: b - a], keepdims=True, dtype=np.uint64)
+            out.append(mix(short + np.full(1, b - a, np.uint64) * _GOLDEN))
         else:
             out.append(np.zeros(0, np.uint64))
     return out
