@@ -23,3 +23,33 @@ def stage(spark: SparkSession) -> Stage:
 
 def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
+
+
+def wrapped(docs: DataFrame) -> DataFrame:
+    """All columns as one, ``_row``, so that no name of theirs meets a helper's name in a join."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))
+
+
+#: Bits of the map in ``reduced``: 256 pieces of 4 KB, 1 MB in all whatever the data.
+MAP_BITS, _PIECE = 1 << 23, 32768
+
+
+def reduced(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """``rows`` without most of those whose ``key`` is not in ``wanted``: a step before a join.
+
+    The hashes of the wanted keys set bits of a map of fixed size, which goes to every task; rows
+    whose bit is not set cannot join, so they need not be shuffled. The more keys, the fewer rows it
+    spares; the join after it decides.
+    """
+
+    def bit(column: Column) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(MAP_BITS))
+
+    marks = wanted.select(bit(F.col(key)).alias("_bit"))
+    pieces = marks.groupBy(F.floor(F.col("_bit") / _PIECE).alias("_piece")).agg(
+        F.bitmap_construct_agg(F.col("_bit") % _PIECE).alias("_map")
+    )
+    at = bit(F.col(key))
+    byte = F.conv(F.hex(F.substring(F.col("_map"), (F.floor((at % _PIECE) / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    is_set = F.call_function("getbit", byte, (at % 8).cast("int")) == 1
+    return rows.join(F.broadcast(pieces), (F.floor(at / _PIECE) == F.col("_piece")) & is_set).select(*rows.columns)

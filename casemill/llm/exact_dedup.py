@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casemill.llm.common import stage, text_of
+from casemill.llm.common import stage, text_of, wrapped
 
 MIN_CHUNK, MAX_CHUNK = 1024, 8192
 _CHUNK = rf"(?s).{{{MIN_CHUNK - 2},{MAX_CHUNK - 2}}}?[aeiostr][\x09-\x0D\x20]|.{{1,{MAX_CHUNK}}}"
@@ -87,17 +87,18 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     written = stage(docs.sparkSession)
     lost = written.write(exact_groups(docs, id_col, text_col).filter("not kept"))
-    id_, digest = F.col(id_col), F.sha2(text_of(text_col), 256)
+    id_, digest = F.col(f"_row.{id_col}"), F.sha2(text_of(f"_row.{text_col}"), 256)
 
     def named(rows: DataFrame):
-        names = rows.select(F.col("doc_id").alias("_lost_id"), F.col("text_sha256").alias("_lost_sha")).distinct()
-        return names, id_.eqNullSafe(F.col("_lost_id")) & (digest == F.col("_lost_sha"))
+        names = rows.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
+        return names, id_.eqNullSafe(F.col("_id")) & (digest == F.col("_sha"))
 
     others, is_other = named(lost.filter(~F.col("doc_id").eqNullSafe(F.col("keep_id"))))
-    kept = docs.join(others, is_other, "left_anti")
+    kept = wrapped(docs).join(others, is_other, "left_anti")
     twins, is_twin = named(lost.filter(F.col("doc_id").eqNullSafe(F.col("keep_id"))))
     if twins.isEmpty():
-        return kept
-    alone = kept.join(twins, is_twin, "left_anti")
-    paired = kept.join(twins, is_twin, "left_semi").dropDuplicates([id_col, text_col])
+        return kept.select("_row.*")
+    alone = kept.join(twins, is_twin, "left_anti").select("_row.*")
+    paired = kept.join(twins, is_twin, "left_semi").select("_row.*")
+    paired = paired.withColumn(text_col, text_of(text_col)).dropDuplicates([id_col, text_col])
     return alone.unionByName(paired)

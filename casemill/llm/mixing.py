@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from casemill.llm.common import stage, text_of
+from casemill.llm.common import stage, text_of, wrapped
 
 #: Weights of the sources in code-point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -167,8 +167,6 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     """``docs`` with each row as often as the mix takes it, columns as they were."""
     written = stage(docs.sparkSession)
     plan = mix_plan(written.write(sizes(docs)), written)
-    plan = plan.select(*[F.col(c).alias(c if c in ("base", "upto") else f"_mix_{c}") for c in plan.columns])
-    kept = docs.select(F.struct(*docs.columns).alias("_row"))
-    joined = kept.join(plan, F.col("_row.source").cast("string").eqNullSafe(F.col("_mix_s")))
+    joined = wrapped(docs).join(plan, F.col("_row.source").cast("string").eqNullSafe(F.col("s")))
     again = F.array_repeat(F.lit(1), _copies(hash_number(F.col("_row.doc_id"))).cast("int"))
     return joined.select("_row", F.explode(again)).select("_row.*")

@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casemill.llm import byte_bpe, exact_dedup, mixing, near_dedup, toxicity
+from casemill.llm import (
+    byte_bpe,
+    exact_dedup,
+    fingerprints,
+    mixing,
+    near_dedup,
+    page_text,
+    secret_scan,
+    substring_dedup,
+    toxicity,
+    warc,
+)
 from casemill.llm.common import table
 
 
@@ -14,7 +25,27 @@ def op1_hash_threshold_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_minhash_hamming_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_groups(table(spark, sf_dir, "documents")).drop("row")
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"))
+
+
+def op3_trigram_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(table(spark, sf_dir, "documents"))
+
+
+def op4_line_block_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op5_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages")).drop("payload", "url")
+
+
+def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
+def op7_oph_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_likeness(table(spark, sf_dir, "documents"))
 
 
 def op8_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,11 +71,49 @@ def op10_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_hash_threshold_mix": op1_hash_threshold_mix,
     "op2_minhash_hamming_join": op2_minhash_hamming_join,
+    "op3_trigram_secret_scan": op3_trigram_secret_scan,
+    "op4_line_block_text": op4_line_block_text,
+    "op5_warc_zstd": op5_warc_zstd,
+    "op6_sentence_spans": op6_sentence_spans,
+    "op7_oph_fingerprints": op7_oph_fingerprints,
     "op8_chunk_recipes": op8_chunk_recipes,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_ftrl_toxicity": op10_ftrl_toxicity,
 }
 
+
+def _secret_sql() -> str:
+    """Spans of all rules from the lengths of matches and of the pieces between them."""
+    parts = []
+    for k, r in enumerate(secret_scan.RULES):
+        pattern = r.pattern.replace("'", "''")
+        parts.append(
+            f"SELECT n, {k} AS ord, '{r.kind}' AS kind, {r.least} AS least, regexp_extract_all(text, '{pattern}') AS whole, "
+            f"regexp_extract_all(text, '{pattern}', {r.group}) AS tested, regexp_split_to_array(text, '{pattern}') AS gaps FROM t"
+        )
+    return f"""
+        WITH t AS (SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS text FROM documents),
+        found AS ({" UNION ALL ".join(parts)}),
+        each AS (SELECT *, unnest(range(1, len(whole) + 1)) AS i FROM found),
+        spans AS (
+            SELECT n, ord, kind, list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+                   + coalesce(list_sum(list_transform(whole[1:i - 1], lambda x: length(x))), 0) AS begin, length(whole[i]) AS len
+            FROM each WHERE length(tested[i]) >= least
+        ),
+        joined AS (
+            SELECT n, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+                   count(*) FILTER (kind = 'hex') AS n_hex,
+                   string_agg(kind || ':' || begin::BIGINT || ':' || (begin + len)::BIGINT, ',' ORDER BY begin, ord) AS spans,
+                   string_agg(kind || ':' || begin::BIGINT || ':' || (begin + len)::BIGINT, ',' ORDER BY begin, ord)
+                       FILTER (ord < {len(secret_scan.BASE)}) AS base
+            FROM spans GROUP BY n
+        )
+        SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+               sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM t LEFT JOIN joined USING (n)
+    """
+
+
 ORACLE = {
     "op1_hash_threshold_mix": r"""
         WITH docs AS (
@@ -92,4 +161,15 @@ ORACLE = {
                doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
     """,
+    "op3_trigram_secret_scan": _secret_sql(),
+    "op5_warc_zstd": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS sha FROM pages),
+        g AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first FROM p)
+        SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes,
+               array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   (((('0x' || substr(sha, (5 * i // 4 + 1)::BIGINT, 2))::BIGINT >> (3 - (5 * i) % 4)::INT) & 31) + 1)::BIGINT, 1)), '') AS payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM g
+    """,
 }

@@ -35,23 +35,32 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def word_numbers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of all words in order, and for each text where its words begin (one more entry at the end)."""
-    data, offsets = text_bytes(column)
+def word_places(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where every word begins and ends (exclusive) in the bytes; no word reaches over a text's end."""
     n = len(data)
     if not n:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    lower = np.zeros(n + 8, np.uint8)
-    lower[:n] = data
-    lower[:n][(data >= 65) & (data <= 90)] += 32
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     part = (data != 32) & ((data < 9) | (data > 13))
     fresh = np.zeros(n + 1, bool)
     fresh[offsets] = True
-    first = part.copy()
+    first, last = part.copy(), part.copy()
     first[1:] &= ~part[:-1] | fresh[1:n]
-    last = part.copy()
     last[:-1] &= ~part[1:] | fresh[1:n]
-    begin, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
+def word_numbers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of all words in order, and for each text where its words begin (one more entry at the end)."""
+    data, offsets = text_bytes(column)
+    begin, end = word_places(data, offsets)
+    return numbers_at(data, begin, end), np.searchsorted(begin, offsets)
+
+
+def numbers_at(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    n = len(data)
+    lower = np.zeros(n + 8, np.uint8)
+    lower[:n] = data
+    lower[:n][(data >= 65) & (data <= 90)] += 32
     length = end - begin
     eight = np.ndarray((n + 1,), dtype="<u8", buffer=lower, strides=(1,))
     number = mix(length.astype(np.uint64) * _GOLDEN ^ (eight[begin] & _TAIL[np.minimum(length, 8)]))
@@ -61,7 +70,7 @@ def word_numbers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         number[rest] = mix(number[rest] * _GOLDEN + piece)
         at += 8
         rest = rest[length[rest] > at]
-    return number, np.searchsorted(begin, offsets)
+    return number
 
 
 def shingle_numbers(numbers: np.ndarray, begins: np.ndarray, width: int = 5) -> list[np.ndarray]:
