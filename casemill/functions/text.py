@@ -44,12 +44,13 @@ def too_short(text: Column) -> Column:
     return F.length(text) < V.MIN_TEXT_CHARS
 
 
-def truncate(text: Column, max_chars: int) -> Column:
-    return F.left(text, F.lit(max_chars))
+def truncate(text: Column, max_chars: int | None) -> Column:
+    """The whole text, or its beginning when a limit is named."""
+    return text if max_chars is None else F.left(text, F.lit(max_chars))
 
 
-def is_truncated(text: Column, max_chars: int) -> Column:
-    return F.length(text) > max_chars
+def is_truncated(text: Column, max_chars: int | None) -> Column:
+    return F.lit(False) if max_chars is None else F.length(text) > max_chars
 
 
 def clean(value: Column) -> Column:
@@ -95,12 +96,12 @@ def has_any(lowered: Column, phrases: Sequence[str]) -> Column:
     return result
 
 
-def leading_sentences(text: Column, n: int = V.ISSUE_SENTENCES, max_chars: int = V.ISSUE_MAX_CHARS) -> Column:
-    """First ``n`` sentences after the description heading, capped at ``max_chars``."""
+def leading_sentences(text: Column, n: int = V.ISSUE_SENTENCES, max_chars: int | None = None) -> Column:
+    """First ``n`` sentences after the description heading, in full unless a limit is named."""
     body = collapse(F.regexp_replace(text, P.THROUGH_DESCRIPTION, ""))
     # The split limit keeps the rest of a long text in one piece.
     sentences = F.slice(F.split(body, r"(?<=[.!?]) ", n + 1), 1, n)
-    lead = F.left(F.array_join(sentences, " "), F.lit(max_chars))
+    lead = truncate(F.array_join(sentences, " "), max_chars)
     return F.regexp_replace(lead, r"\A\z", V.NOT_PROVIDED)
 
 

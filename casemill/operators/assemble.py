@@ -11,7 +11,6 @@ from casemill.functions.once import once
 from casemill.operators.keys import attach_group_size
 
 _TEXTS = "array<string>"
-SUPPORTED_LIST = ", ".join(V.SUPPORTED_EXTENSIONS)
 
 
 def _no_texts() -> Column:
@@ -38,6 +37,11 @@ def duplicate_ids(manifest: DataFrame) -> DataFrame:
     )
 
 
+def unsupported(ext: Column) -> Column:
+    """Code of an input of a type that no reader takes."""
+    return F.concat(F.lit("unsupported_type: "), ext)
+
+
 def skipped_rows(manifest: DataFrame) -> DataFrame:
     """Result rows for the inputs of unsupported type."""
     return manifest.filter("NOT supported").select(
@@ -45,22 +49,22 @@ def skipped_rows(manifest: DataFrame) -> DataFrame:
         "file_name",
         F.coalesce(F.nullif("file_type", F.lit("")), F.lit("unknown")).alias("file_type"),
         F.lit("SKIPPED").alias("status"),
-        F.array(F.lit(f"Unsupported file type (supported: {SUPPORTED_LIST})")).alias("errors"),
+        F.array(unsupported(F.col("ext"))).alias("errors"),
     )
 
 
-def prepare_text(df: DataFrame, raw: str, max_chars: int) -> DataFrame:
+def prepare_text(df: DataFrame, raw: str, max_chars: int | None = None) -> DataFrame:
     """Add ``text``, ``truncated`` and ``load_error`` from raw text.
 
     A row with an earlier ``load_error`` keeps it; a row with any error has no text.
     """
     known = F.col("load_error") if "load_error" in df.columns else F.lit(None).cast("string")
-    hint = F.when(F.col("file_type") == "pdf", F.lit(" (it may be a scanned, image-only PDF)")).otherwise(F.lit(""))
+    hint = F.when(F.col("file_type") == "pdf", F.lit(": pictures only, perhaps")).otherwise(F.lit(""))
     full = df.withColumn("_known", known).withColumn("_full", once(T.normalise(F.col(raw))))
     judged = full.withColumn(
         "load_error",
         F.coalesce(
-            F.col("_known"), F.when(T.too_short(F.col("_full")), F.concat(F.lit("No extractable text found"), hint))
+            F.col("_known"), F.when(T.too_short(F.col("_full")), F.concat(F.lit("no_text"), hint))
         ),
     )
     return judged.withColumns(
@@ -106,12 +110,12 @@ def output_files(doc_id: Column, extraction: Column, email: Column, summary: Col
 
 
 def _prefixed(prefix: str, error: str) -> Column:
-    return F.when(F.col(error).isNotNull(), F.concat(F.lit(f"{prefix} failed: "), F.col(error)))
+    return F.when(F.col(error).isNotNull(), F.concat(F.lit(f"{prefix}: "), F.col(error)))
 
 
-def results(df: DataFrame, max_chars: int) -> DataFrame:
+def results(df: DataFrame, max_chars: int | None = None) -> DataFrame:
     """One result row per processed document from the columns the stages have added."""
-    cut = F.when(F.col("truncated"), F.array(F.lit(f"Document truncated to {max_chars} characters")))
+    cut = F.when(F.col("truncated"), F.array(F.lit(f"text_cut: {max_chars}")))
 
     def summed(part: str) -> Column:
         stages = ["extraction", "customer_email", "case_summary"]
@@ -135,8 +139,8 @@ def results(df: DataFrame, max_chars: int) -> DataFrame:
             ),
             "errors": F.array_compact(
                 F.array(
-                    _prefixed("Ingestion", "load_error"),
-                    _prefixed("Extraction", "extraction_error"),
+                    _prefixed("load", "load_error"),
+                    _prefixed("record", "extraction_error"),
                     _prefixed("customer_email", "customer_email_error"),
                     _prefixed("case_summary", "case_summary_error"),
                 )

@@ -54,8 +54,8 @@ def template_summary(record: Column, params: Params | None = None) -> Column:
     status = record["overall_case_status"]
     values = {
         "case_overview": F.concat(
-            record["customer_name"], F.lit(" raised a "), record["complaint_category"],
-            F.lit(" case (priority "), record["priority"], F.lit(")."),
+            record["customer_name"], F.lit(V.OVERVIEW_CATEGORY), record["complaint_category"],
+            F.lit(V.OVERVIEW_PRIORITY), record["priority"], F.lit("."),
         ),
         "key_issue": record["issue_description"],
         "action_taken": F.when(done == V.NOT_PROVIDED, F.lit(V.NO_ACTION)).otherwise(done),

@@ -11,26 +11,27 @@ class ParamError(ValueError):
 
 @dataclass(frozen=True)
 class Params:
-    max_file_size_mb: float = 10.0
-    max_document_chars: int = 20000
+    #: No limit unless the caller names one.
+    max_file_size_mb: float | None = None
+    max_document_chars: int | None = None
     grounding_max_corrections: int = 1
     max_attempts: int = 3
     company_name: str = "Example Customer Care"
     email_signature: str = "Customer Care Team, Example"
 
     def __post_init__(self) -> None:
-        if self.max_document_chars < 500:
+        if self.max_document_chars is not None and self.max_document_chars < 500:
             raise ParamError("max_document_chars must be at least 500")
         if self.grounding_max_corrections < 0:
             raise ParamError("grounding_max_corrections must not be negative")
         if self.max_attempts < 1:
             raise ParamError("max_attempts must be at least 1")
-        if self.max_file_size_mb <= 0:
+        if self.max_file_size_mb is not None and self.max_file_size_mb <= 0:
             raise ParamError("max_file_size_mb must be positive")
 
     @property
-    def max_file_bytes(self) -> int:
-        return int(self.max_file_size_mb * 1024 * 1024)
+    def max_file_bytes(self) -> int | None:
+        return None if self.max_file_size_mb is None else int(self.max_file_size_mb * 1024 * 1024)
 
 
 @dataclass(frozen=True)

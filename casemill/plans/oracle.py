@@ -110,7 +110,7 @@ def amount_key(x: str) -> str:
 def digits_found(number: str, text: str) -> str:
     # The case tables hold ASCII digits only; the short class keeps the many patterns cheap to build.
     pattern = rf"regexp_replace({number}, '([0-9])', '\1[^0-9]{{0,3}}', 'g')"
-    return f"(length({number}) BETWEEN 1 AND 20 AND regexp_matches({text}, {pattern}))"
+    return f"(length({number}) > 0 AND regexp_matches({text}, {pattern}))"
 
 
 def any_of(lowered: str, words) -> str:
@@ -120,7 +120,7 @@ def any_of(lowered: str, words) -> str:
 def issue(text: str) -> str:
     body = collapse(f"regexp_replace({text}, '{HEADING}', '')")
     two = rf"regexp_extract({body}, '(?s)\A(.*?[.!?] .*?[.!?]) ', 1)"
-    return f"coalesce(nullif(left(CASE WHEN {two} <> '' THEN {two} ELSE {body} END, 350), ''), {NP})"
+    return f"coalesce(nullif(CASE WHEN {two} <> '' THEN {two} ELSE {body} END, ''), {NP})"
 
 
 def issues(draft: str, ref: str) -> str:
@@ -220,7 +220,7 @@ def templates(source: str) -> str:
 SELECT *, {q(V.REPLY_SUBJECT)} || {ref} AS email_subject,
        {greeting} || chr(10) || chr(10) || {q(V.REPLY_OPENING)} || {ref} || {q(V.REPLY_CONCERN)} || issue_description
        || chr(10) || chr(10) || {_case('overall_case_status', V.REPLY_STATUS_LINES)} || {resolution} || {end} AS email_body,
-       customer_name || ' raised a ' || complaint_category || ' case (priority ' || priority || ').' AS case_overview,
+       customer_name || {q(V.OVERVIEW_CATEGORY)} || complaint_category || {q(V.OVERVIEW_PRIORITY)} || priority || '.' AS case_overview,
        issue_description AS key_issue,
        CASE WHEN resolution_provided = {NP} THEN {q(V.NO_ACTION)} ELSE resolution_provided END AS action_taken,
        overall_case_status AS current_status,
@@ -281,8 +281,7 @@ CTES: dict[str, str] = {
     "cases": CASES_SQL,
     "src": f"SELECT *, {normal('raw_text')} AS full_text FROM cases",
     "docs": (
-        "SELECT *, CASE WHEN length(full_text) < 20 THEN 'No extractable text found' END AS load_error, "
-        "left(full_text, 20000) AS text, length(full_text) >= 20 AND length(full_text) > 20000 AS truncated FROM src"
+        "SELECT *, CASE WHEN length(full_text) < 20 THEN 'no_text' END AS load_error, full_text AS text FROM src"
     ),
     "good": "SELECT * FROM docs WHERE load_error IS NULL",
     "labelled": classified("good"),

@@ -16,6 +16,7 @@ def build_session(app_name: str = "casemill", master: str | None = None, **conf:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.files.maxPartitionBytes", "64m")
     )
     if master:
         builder = builder.master(master)
@@ -30,16 +31,6 @@ def shared_dir(spark: SparkSession) -> str:
     return (configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_stages").rstrip("/")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows of a small table dealt out to all cores.
-
-    A table in a few small files is read by a few tasks, however much text work follows.
-    Tables with at least one partition per core, so every large one, are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 class Stage:
     """Tables written between waves of a non-repeatable step.
 

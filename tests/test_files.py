@@ -67,12 +67,12 @@ def test_run_over_a_folder(spark, folder, tmp_path):
         "empty.txt": "FAILED", "tiny.txt": "FAILED", "broken.docx": "FAILED", "scan.pdf": "FAILED", "big.txt": "FAILED",
         "list.csv": "SKIPPED", "noext": "SKIPPED"}
     assert rows["a.txt"].doc_id == "a_txt" and rows["a.docx"].doc_id == "a_docx" and rows["_under.txt"].doc_id == "_under"
-    assert rows["empty.txt"].errors == ["Ingestion failed: File is empty (0 bytes)"]
-    assert rows["big.txt"].errors == ["Ingestion failed: File is 1.0 MB, above the 1 MB limit"]
-    assert rows["broken.docx"].errors[0].startswith("Ingestion failed: Could not parse .docx file (BadZipFile")
-    assert rows["scan.pdf"].errors[0].startswith("Ingestion failed: Could not parse .pdf file (NoReader")
+    assert rows["empty.txt"].errors == ["load: empty_file"]
+    assert rows["big.txt"].errors == ["load: too_large: 1.0 MB"]
+    assert rows["broken.docx"].errors[0].startswith("load: unreadable: .docx (BadZipFile")
+    assert rows["scan.pdf"].errors[0].startswith("load: unreadable: .pdf (NoReader")
     assert rows["noext"].file_type == "unknown"
-    assert "Document truncated to 1000 characters" in rows["long.txt"].warnings
+    assert "text_cut: 1000" in rows["long.txt"].warnings
     e = rows["a.txt"].extraction
     assert (e.customer_name, e.email, e.reference_number, e.overall_case_status) == (
         "Nora Quist", "nora.quist@example.org", "ORD-448120", "In Progress")
@@ -95,6 +95,16 @@ def test_run_over_a_folder(spark, folder, tmp_path):
     assert readback.read_structured(spark, f"{out}/structured_data").count() == 10 and again.meta.run_id != run.meta.run_id
 
 
+def test_no_limits_unless_named_and_one_scan_of_bytes(spark, folder):
+    rows = batch.process_folder(spark, str(folder))
+    found = {r.file_name: r for r in rows.select("file_name", "status", "warnings").collect()}
+    assert found["big.txt"].status == "SUCCESS" and not any("text_cut" in w for w in found["long.txt"].warnings)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    scans = [line for line in plan.splitlines() if "Relation [path" in line and "binaryFile" in line]
+    physical = rows._jdf.queryExecution().sparkPlan().toString()
+    assert len(scans) == 2 and physical.count("content#") and sum("FileScan binaryFile" in x and "content#" in x for x in physical.splitlines()) == 1
+
+
 def test_reader_for_another_type(spark, folder):
     read = readers.reader_from_callable(lambda content: "Text of a file that starts with " + content.decode())
     rows = batch.process_folder(spark, str(folder), PARAMS, read_with={".pdf": read}).filter("file_name = 'scan.pdf'").collect()
@@ -112,7 +122,7 @@ def test_failing_task_is_isolated(spark, folder):
 
     rows = batch.process_folder(spark, str(folder), PARAMS, generation_model=model, stage=Stage(spark)).filter("file_name = 'a.txt'").collect()
     assert rows[0].status == "PARTIAL" and rows[0].email is None and rows[0].summary is not None
-    assert rows[0].errors == ["customer_email failed: TimeoutError: simulated"]
+    assert rows[0].errors == ["customer_email: TimeoutError: simulated"]
 
 
 def test_decode_cascade(spark):
