@@ -91,19 +91,23 @@ def record_warnings(warnings: Column) -> Column:
     return F.filter(warnings, lambda w: ~F.contains(w, F.lit("grounding")))
 
 
+def output_name(folder: str, doc_id: Column) -> Column:
+    return F.concat(F.lit(f"{folder}:"), doc_id)
+
+
 def output_files(doc_id: Column, extraction: Column, email: Column, summary: Column) -> Column:
-    """Relative names of the outputs a row has, keyed by report column."""
+    """The outputs a row has, as data set and key in it, by report column."""
 
-    def entry(present: Column, column: str, folder: str, ext: str) -> Column:
-        name = F.concat(F.lit(f"{folder}/"), doc_id, F.lit(ext))
+    def entry(present: Column, column: str, folder: str) -> Column:
+        name = output_name(folder, doc_id)
         return F.when(present, F.struct(F.lit(column).alias("key"), name.alias("value")))
 
     return F.map_from_entries(
         F.array_compact(
             F.array(
-                entry(extraction.isNotNull(), "structured_data_file", V.STRUCTURED_DIR, ".json"),
-                entry(email.isNotNull(), "customer_email_file", V.EMAILS_DIR, ".txt"),
-                entry(summary.isNotNull() & extraction.isNotNull(), "case_summary_file", V.SUMMARIES_DIR, ".md"),
+                entry(extraction.isNotNull(), "structured_data_file", V.STRUCTURED_DIR),
+                entry(email.isNotNull(), "customer_email_file", V.EMAILS_DIR),
+                entry(summary.isNotNull() & extraction.isNotNull(), "case_summary_file", V.SUMMARIES_DIR),
             )
         )
     )
@@ -156,7 +160,10 @@ def results(df: DataFrame, max_chars: int | None = None) -> DataFrame:
             ),
         }
     )
-    seconds = F.col("stage_seconds") if "stage_seconds" in df.columns else F.create_map().cast("map<string,double>")
+    timed = [s for s in ("extraction", "customer_email", "case_summary") if f"{s}_seconds" in df.columns]
+    seconds = F.create_map(
+        *[x for s in timed for x in (F.lit(s), F.coalesce(F.col(f"{s}_seconds"), F.lit(0.0)))]
+    ).cast("map<string,double>")
     return merged.select(
         "doc_id", "file_name", "file_type", "status", "extraction",
         F.col("customer_email").alias("email"), F.col("case_summary").alias("summary"),
@@ -166,6 +173,22 @@ def results(df: DataFrame, max_chars: int | None = None) -> DataFrame:
     )
 
 
+def with_sink_errors(results: DataFrame, failed: DataFrame) -> DataFrame:
+    """Result rows with the failures of a sink that takes documents one by one.
+
+    ``failed`` has ``doc_id`` and ``sink_error``. A document that was complete becomes partial and
+    names the failure; the others keep their status and name it too.
+    """
+    joined = results.join(failed.select("doc_id", "sink_error"), "doc_id", "left")
+    hit = F.col("sink_error").isNotNull()
+    return joined.withColumns(
+        {
+            "status": F.when(hit & (F.col("status") == "SUCCESS"), "PARTIAL").otherwise(F.col("status")),
+            "errors": F.when(hit, F.array_append("errors", F.concat(F.lit("outputs: "), "sink_error"))).otherwise(F.col("errors")),
+        }
+    ).select(results.columns)
+
+
 def with_skipped(processed: DataFrame, skipped: DataFrame) -> DataFrame:
     """Processed and skipped inputs together: one row per input file."""
     both = processed.unionByName(skipped, allowMissingColumns=True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -104,7 +105,7 @@ TASKS = [EMAIL_TASK, SUMMARY_TASK]
 
 
 def _outcome_columns(task: Task) -> list[str]:
-    parts = ["warnings", "error", "input_tokens", "output_tokens", "calls"]
+    parts = ["warnings", "error", "input_tokens", "output_tokens", "calls", "seconds"]
     return [task.name, *[f"{task.name}_{p}" for p in parts]]
 
 
@@ -181,7 +182,7 @@ def draft_with_templates(df: DataFrame, task: Task, params: Params, record: str
 
 
 # --------------------------------------------------------------------------- model calls
-_ANSWER = "raw string, input_tokens bigint, output_tokens bigint, error string, error_classes array<string>"
+_ANSWER = "raw string, input_tokens bigint, output_tokens bigint, error string, error_classes array<string>, seconds double"
 
 
 def model_udf(call: Callable[[str, str], dict]):
@@ -192,18 +193,20 @@ def model_udf(call: Callable[[str, str], dict]):
     """
 
     def one(system: str, user: str) -> tuple:
+        began = time.perf_counter()
         try:
             answer = call(system, user)
-            return answer["raw"], answer.get("input_tokens", 0), answer.get("output_tokens", 0), None, None
+            got = answer["raw"], answer.get("input_tokens", 0), answer.get("output_tokens", 0), None, None
         except Exception as exc:  # noqa: BLE001 - errors are data here
-            return None, 0, 0, f"{type(exc).__name__}: {exc}", [c.__name__ for c in type(exc).__mro__]
+            got = None, 0, 0, f"{type(exc).__name__}: {exc}", [c.__name__ for c in type(exc).__mro__]
+        return *got, time.perf_counter() - began
 
     @F.pandas_udf(_ANSWER)
     def ask(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for systems, users in batches:
             yield pd.DataFrame(
                 [one(s, u) for s, u in zip(systems, users)],
-                columns=["raw", "input_tokens", "output_tokens", "error", "error_classes"],
+                columns=["raw", "input_tokens", "output_tokens", "error", "error_classes", "seconds"],
             )
 
     return ask.asNondeterministic()
@@ -215,7 +218,7 @@ def is_retryable(error_classes: Column) -> Column:
     return ~F.coalesce(F.arrays_overlap(error_classes, listed), F.lit(False))
 
 
-_CALL_COLUMNS = ["draft", "call_error", "call_input_tokens", "call_output_tokens", "call_attempts"]
+_CALL_COLUMNS = ["draft", "call_error", "call_input_tokens", "call_output_tokens", "call_attempts"]  # and call_seconds, summed over the waves
 
 
 def call_model(df: DataFrame, ask, parse: Callable[..., DataFrame], params: Params, stage: Stage) -> DataFrame:
@@ -226,7 +229,7 @@ def call_model(df: DataFrame, ask, parse: Callable[..., DataFrame], params: Para
     speculative tasks repeat calls.
     """
     done: list[DataFrame] = []
-    pending = df
+    pending = df.withColumn("call_seconds", F.lit(0.0))
     for attempt in range(1, params.max_attempts + 1):
         answered = pending.withColumn("_call", ask("_system", "_user")).withColumn("_raw", F.col("_call.raw"))
         parsed = parse(answered, "_raw", out="draft", problems="_problems")
@@ -240,6 +243,7 @@ def call_model(df: DataFrame, ask, parse: Callable[..., DataFrame], params: Para
                 "call_input_tokens": F.when(failed | bad, F.lit(0)).otherwise(F.col("_call.input_tokens")).cast("bigint"),
                 "call_output_tokens": F.when(failed | bad, F.lit(0)).otherwise(F.col("_call.output_tokens")).cast("bigint"),
                 "call_attempts": F.lit(attempt).cast("bigint"),
+                "call_seconds": F.col("call_seconds") + F.col("_call.seconds"),
                 "_again": (failed & is_retryable(F.col("_call.error_classes"))) | bad,
             }
         ).drop("_call", "_raw", "_problems")
@@ -270,6 +274,7 @@ def extract_with_model(df: DataFrame, call, params: Params, stage: Stage) -> Dat
         F.when(F.col("call_error").isNull(), F.col("call_input_tokens")).otherwise(F.lit(0)).cast("bigint").alias("extraction_input_tokens"),
         F.when(F.col("call_error").isNull(), F.col("call_output_tokens")).otherwise(F.lit(0)).cast("bigint").alias("extraction_output_tokens"),
         F.when(F.col("call_error").isNull(), F.col("call_attempts")).otherwise(F.lit(0)).cast("bigint").alias("extraction_calls"),
+        F.col("call_seconds").alias("extraction_seconds"),
     )
     return named.unionByName(df.filter(F.col("text").isNull()), allowMissingColumns=True)
 
@@ -283,7 +288,7 @@ def draft_with_model(
     skipped = df.filter(F.col(record).isNull())
     zero = F.lit(0).cast("bigint")
     pending = df.filter(F.col(record).isNotNull()).withColumns(
-        {"_feedback": F.lit(None).cast("array<string>"), "_spent_in": zero, "_spent_out": zero, "_spent_calls": zero}
+        {"_feedback": F.lit(None).cast("array<string>"), "_spent_in": zero, "_spent_out": zero, "_spent_calls": zero, "_spent_seconds": F.lit(0.0)}
     )
     done: list[DataFrame] = []
     for attempt in range(params.grounding_max_corrections + 1):
@@ -303,6 +308,7 @@ def draft_with_model(
                 "_spent_in": F.col("_spent_in") + F.col("call_input_tokens"),
                 "_spent_out": F.col("_spent_out") + F.col("call_output_tokens"),
                 "_spent_calls": F.col("_spent_calls") + F.col("call_attempts"),
+                "_spent_seconds": F.col("_spent_seconds") + F.col("call_seconds"),
                 "_again": ~failed & (F.size("_issues") > 0),
             }
         )
@@ -318,6 +324,7 @@ def draft_with_model(
                 F.when(failed, zero).otherwise(F.col("_spent_in")).alias(names[3]),
                 F.when(failed, zero).otherwise(F.col("_spent_out")).alias(names[4]),
                 F.when(failed, zero).otherwise(F.col("_spent_calls")).alias(names[5]),
+                F.col("_spent_seconds").alias(names[6]),
             )
         )
         if last:
@@ -325,7 +332,7 @@ def draft_with_model(
         pending = stage.write(
             spent.filter("_again")
             .withColumn("_feedback", F.col("_issues"))
-            .select(*df.columns, "_feedback", "_spent_in", "_spent_out", "_spent_calls")
+            .select(*df.columns, "_feedback", "_spent_in", "_spent_out", "_spent_calls", "_spent_seconds")
         )
         if pending.isEmpty():
             break

@@ -8,17 +8,18 @@ from collections.abc import Callable
 from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casemill.functions import classify, prompts
-from casemill.operators import assemble, drafting, verify
+from casemill.operators import assemble, drafting, report, verify
 from casemill.params import Params, RunMeta
 from casemill.session import Stage
 from casemill.sources import manifest as M
 from casemill.sources import readers, sinks
 
 Model = Callable[[str, str], dict]
+RESULTS_DIR = "results"
 
 
 def extract(documents: DataFrame, params: Params, model: Model | None = None, stage: Stage | None = None) -> DataFrame:
@@ -64,10 +65,21 @@ def process(
 
 
 def process_table(
-    table: DataFrame, doc_id: str, text: str, params: Params | None = None, file_type: str = "txt", **models
+    table: DataFrame,
+    doc_id: str,
+    text: str,
+    params: Params | None = None,
+    file_type: str = "txt",
+    where: Column | str | None = None,
+    **models,
 ) -> DataFrame:
-    """Result rows for documents that already are rows of a table."""
+    """Result rows for documents that already are rows of a table.
+
+    ``where`` picks rows of the table before any text is looked at, so it reaches the scan; a filter
+    on the result rows stays above the text rules.
+    """
     params = params or Params()
+    table = table if where is None else table.filter(where)
     documents = table.select(
         F.col(doc_id).cast("string").alias("doc_id"),
         F.concat(F.col(doc_id).cast("string"), F.lit(f".{file_type}")).alias("file_name"),
@@ -104,6 +116,7 @@ class Run:
     results: DataFrame
     meta: RunMeta
     elapsed: float
+    counters: dict[str, int]
 
 
 def run(
@@ -117,18 +130,26 @@ def run(
 ) -> Run:
     """Process a folder and write every output.
 
-    The result rows are written once and every output is derived from the written table,
-    so no document is processed, and no model asked, a second time.
+    The result rows are written once, as an output of their own, and every other output is
+    derived from them, so no document is processed, and no model asked, a second time.
+    Tables written between the steps of a model are deleted when the run ends.
     """
     started = time.perf_counter()
     meta = meta or new_run()
     stage = Stage(spark)
     model_stage = {"stage": stage} if {"extraction_model", "generation_model"} & options.keys() else {}
-    results = stage.write(process_folder(spark, folder, params, **options, **model_stage))
+    path = f"{out_dir}/{RESULTS_DIR}/run_id={meta.run_id}"
+    try:
+        rows, seen = report.counted(process_folder(spark, folder, params, **options, **model_stage))
+        rows.write.mode("overwrite").parquet(path)
+        counters = seen.get
+    finally:
+        stage.release()
+    results = spark.read.schema(rows.schema).parquet(path)
     meta = replace(meta, processed_at=meta.processed_at or meta.started_at)
     sinks.write_documents(results, meta, out_dir, clean)
     sinks.write_report(results, out_dir)
     elapsed = time.perf_counter() - started
     finished = datetime.now(timezone.utc).isoformat(timespec="seconds")
     sinks.write_run_summary(results, meta, elapsed, finished, out_dir)
-    return Run(results, meta, elapsed)
+    return Run(results, meta, elapsed, counters)

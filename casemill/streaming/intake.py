@@ -9,38 +9,44 @@ from casemill.functions import text as T
 from casemill.operators import assemble
 from casemill.params import Params
 from casemill.plans import batch
-from casemill.sources.manifest import size_error, with_name_parts
-from casemill.sources.readers import read_txt
+from casemill.sources.manifest import list_folder, size_error, with_name_parts
+from casemill.sources.readers import apply_readers
 
 BINARY_FILE_TYPE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def arriving_text_files(spark: SparkSession, folder: str, max_files_per_batch: int = 1000) -> DataFrame:
-    """Stream of the text files that appear in ``folder``."""
+def arriving_files(spark: SparkSession, folder: str, max_files_per_batch: int = 1000) -> DataFrame:
+    """Stream of the files that appear in ``folder``, whatever their type."""
     files = (
         spark.readStream.format("binaryFile").schema(BINARY_FILE_TYPE)
-        .option("maxFilesPerTrigger", max_files_per_batch).option("pathGlobFilter", "*.txt").load(folder)
+        .option("maxFilesPerTrigger", max_files_per_batch).load(folder)
     )
     return files.withColumn("file_name", F.element_at(F.split("path", "/"), -1))
 
 
-def stream_results(files: DataFrame, params: Params | None = None) -> DataFrame:
+def stream_results(files: DataFrame, params: Params | None = None, read_with: dict | None = None) -> DataFrame:
     """Result rows of a stream of files. Every step is a row transform, so no state is kept.
 
     Whether a stem is shared is not known yet, so ids are the file names' stems.
     """
     params = params or Params()
     named = with_name_parts(files).withColumn("doc_id", T.stem(F.col("file_name")))
-    raw = read_txt(named.withColumn("load_error", size_error(params)), "content")
-    documents = assemble.prepare_text(raw, "raw_text", params.max_document_chars).select(
+    loaded = named.filter("supported").withColumn("load_error", size_error(params))
+    documents = assemble.prepare_text(apply_readers(loaded, read_with), "raw_text", params.max_document_chars).select(
         "doc_id", "file_name", "file_type", "text", "truncated", "load_error"
     )
-    return batch.process(documents, params)
+    return assemble.with_skipped(batch.process(documents, params), assemble.skipped_rows(named))
+
+
+def unseen_inputs(spark: SparkSession, folder: str, results: DataFrame) -> DataFrame:
+    """Files of ``folder`` without a result row: new ones, and those a file stream never lists (empty, or named with ``_``)."""
+    listed = with_name_parts(list_folder(spark, folder))
+    return listed.join(results.select("file_name"), "file_name", "left_anti")
 
 
 def run_available(spark: SparkSession, folder: str, out_dir: str, checkpoint: str, params: Params | None = None):
     """Process what has arrived since the last call and stop."""
-    rows = stream_results(arriving_text_files(spark, folder), params)
+    rows = stream_results(arriving_files(spark, folder), params)
     query = (
         rows.writeStream.format("parquet").outputMode("append")
         .option("path", out_dir).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

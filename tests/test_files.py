@@ -87,11 +87,14 @@ def test_run_over_a_folder(spark, folder, tmp_path):
     assert summary.files_total == 12 and summary.status_counts.FAILED == 5 and summary.status_counts.PARTIAL == 0
     assert summary.escalations_required == 0 and sum(c.documents for c in summary.by_category) == 5
 
-    listing = readback.listing_of_outputs(spark, out)
+    listing = readback.listing_of_outputs(spark, out, run.meta.run_id)
     report_rows = report.report_rows(run.results)
     assert quality.missing_outputs(report_rows, listing).count() == 0
     assert quality.unreported_inputs(manifest.discover(spark, str(folder)), report_rows).count() == 0
+    totals = report.run_totals(run.results).first().asDict()
+    assert run.counters == totals
     again = batch.run(spark, str(folder), out, PARAMS, clean=False)
+    assert readback.listing_of_outputs(spark, out, again.meta.run_id).count() == 15
     assert readback.read_structured(spark, f"{out}/structured_data").count() == 10 and again.meta.run_id != run.meta.run_id
 
 
@@ -151,6 +154,10 @@ def test_truth_file(spark, tmp_path):
     truth, errors = readback.read_truth(spark, str(path))
     row = truth.first()
     assert row.hard["email"].one == "x" and row.hard["overall_case_status"].many == ["Open"] and row.forbidden == {}
+    lines = tmp_path / "truth.jsonl"
+    lines.write_text("".join(json.dumps({"doc_id": f"d{k}", "hard": {"email": "x", "overall_case_status": ["Open"]}, "soft": {}}) + "\n" for k in (1, 2)))
+    rows = readback.read_truth_lines(spark, str(lines)).orderBy("doc_id").collect()
+    assert [r.doc_id for r in rows] == ["d1", "d2"] and rows[0].hard == row.hard and rows[0].forbidden == {}
     assert [tuple(r) for r in errors.collect()] == [("e.txt", "FAILED")]
 
 
@@ -162,3 +169,17 @@ def test_stream_intake(spark, tmp_path):
     (data / "b.txt").write_text("hi")
     rows = {r.file_name: r.status for r in intake.run_available(spark, str(data), out, mark).collect()}
     assert rows == {"a.txt": "SUCCESS", "b.txt": "FAILED"}
+    (data / "C.TXT").write_text(LETTER)
+    (data / "d.docx").write_bytes(docx_bytes(["A letter about a parcel that never arrived."], []))
+    (data / "e.csv").write_text("a")
+    (data / "f.txt").write_text("")
+    done = intake.run_available(spark, str(data), out, mark)
+    assert {r.file_name: r.status for r in done.collect()} == {**rows, "C.TXT": "SUCCESS", "d.docx": "SUCCESS", "e.csv": "SKIPPED"}
+    assert [r.file_name for r in intake.unseen_inputs(spark, str(data), done).collect()] == ["f.txt"]
+
+
+def test_filter_reaches_the_scan(spark, tmp_path):
+    spark.range(50).selectExpr("cast(id as string) id", "repeat('word ', 20) text").write.parquet(str(tmp_path / "t"))
+    rows = batch.process_table(spark.read.parquet(str(tmp_path / "t")), "id", "text", where="id = '5'")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(id,5)" in plan and [r.doc_id for r in rows.collect()] == ["5"]
