@@ -3,7 +3,7 @@
 Text is cut by the vocabulary's pattern, and in each piece the neighbouring parts whose bytes together
 have the lowest rank are joined, the leftmost first, until no neighbours have a rank. Instead of
 searching all neighbours for the lowest rank again and again, positions wait in one bucket per rank,
-and a three-level bitmap of 64-bit words tells by find-first-set which bucket comes next. Parts form
+and a two-level bitmap tells by find-first-set which bucket comes next. Parts form
 a linked list, so a join touches two neighbours only; entries that a join has outdated stay in their
 buckets and are skipped. A piece of n bytes takes O(n log n) steps, also when it is a megabyte long.
 """
@@ -15,6 +15,7 @@ import heapq
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,9 @@ from pyspark.sql import functions as F
 from casemill.llm.common import stage, text_of
 
 #: Pieces of at most so many characters are remembered, at most so many of them at a time.
-REMEMBER_CHARS, REMEMBER = 48, 300_000
+REMEMBER_CHARS, REMEMBER = 48, 1_000_000
+#: Ranks in one word of the bitmap's lower level, as a power of two.
+WORD = 8
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -34,95 +37,80 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-class RankQueue:
-    """Positions by rank; ``pop`` gives the leftmost position of the lowest rank."""
-
-    def __init__(self, ranks: int):
-        self._low = [0] * (ranks // 64 + 1)
-        self._mid = [0] * (len(self._low) // 64 + 1)
-        self._top = 0
-        self._buckets: dict[int, list[int]] = {}
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self._buckets.get(rank)
-        if bucket:
-            heapq.heappush(bucket, position)
-            return
-        self._buckets[rank] = [position]
-        word = rank >> 6
-        if not self._low[word]:
-            if not self._mid[word >> 6]:
-                self._top |= 1 << (word >> 6)
-            self._mid[word >> 6] |= 1 << (word & 63)
-        self._low[word] |= 1 << (rank & 63)
-
-    def pop(self) -> tuple[int, int] | None:
-        if not self._top:
-            return None
-        group = (self._top & -self._top).bit_length() - 1
-        bits = self._mid[group]
-        word = group << 6 | (bits & -bits).bit_length() - 1
-        bits = self._low[word]
-        rank = word << 6 | (bits & -bits).bit_length() - 1
-        bucket = self._buckets[rank]
-        position = heapq.heappop(bucket)
-        if not bucket:
-            del self._buckets[rank]
-            self._low[word] &= bits - 1
-            if not self._low[word]:
-                self._mid[group] &= self._mid[group] - 1
-                if not self._mid[group]:
-                    self._top &= self._top - 1
-        return rank, position
-
-
 class Encoder:
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    """``known`` may be shared by encoders of the same ranks and pattern: it holds the ids of pieces seen."""
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str, known: dict[str, bytes] | None = None):
         self._ranks = ranks
         self._longest = max(map(len, ranks), default=1)
-        self._queue = RankQueue(max(ranks.values(), default=0) + 1)
+        # Ranks of all pairs of bytes, at 256 times the first plus the second.
+        self._two = [ranks.get(bytes((a, b))) for a in range(256) for b in range(256)]
+        # The lower level of the bitmap, all zero between pieces.
+        self._words = [0] * ((max(ranks.values(), default=0) >> WORD) + 1)
         self._pieces = regex.compile(pattern).findall
         # In ASCII text the letters are A-Z and a-z, the digits 0-9, so the standard matcher will do.
         narrow = pattern.replace(r"[^\s\p{L}\p{N}]", r"[^\sA-Za-z0-9]").replace(r"\p{L}", "[A-Za-z]").replace(r"\p{N}", "[0-9]")
         self._ascii_pieces = self._pieces if r"\p" in narrow else re.compile(narrow, re.ASCII).findall
-        self._known: dict[str, bytes] = {}
+        self._known = {} if known is None else known
 
     def merged(self, piece: bytes) -> list[int]:
         """Ids of one piece."""
-        ranks, longest, queue = self._ranks, self._longest, self._queue
-        whole = ranks.get(piece) if len(piece) <= longest else None
+        rank_of, longest, words = self._ranks.get, self._longest, self._words
+        whole = rank_of(piece)
         if whole is not None:
             return [whole]
         n = len(piece)
-        after = list(range(1, n + 1))  # where the next part begins
-        before = list(range(-1, n - 1))
-        waits = [-1] * n  # the rank under which a position waits, -1: none
-        for i in range(n - 1):
-            rank = ranks.get(piece[i : i + 2])
-            if rank is not None:
+        after = list(range(1, n + 1)) + [n + 1]  # where the next part begins
+        before = list(range(-1, n))
+        waits = [-1] * (n + 1)  # the rank under which a position waits, -1: none
+        buckets: dict[int, list[int]] = {}  # heaps, so that the leftmost position comes first
+        top = 0  # the upper level: a bit for every word that is not zero
+        mask = (1 << WORD) - 1
+        fresh = enumerate([self._two[a << 8 | b] for a, b in pairwise(piece)])
+        while True:
+            for i, rank in fresh:
+                if rank is None:
+                    waits[i] = -1
+                    continue
                 waits[i] = rank
-                queue.push(rank, i)
-        while (entry := queue.pop()) is not None:
-            rank, i = entry
-            if waits[i] != rank:
-                continue
+                if rank in buckets:
+                    heapq.heappush(buckets[rank], i)
+                else:
+                    buckets[rank] = [i]
+                    word = rank >> WORD
+                    top |= 1 << word
+                    words[word] |= 1 << (rank & mask)
+            # The lowest rank with a position that still waits under it.
+            while top:
+                word = (top & -top).bit_length() - 1
+                bits = words[word]
+                rank = word << WORD | (bits & -bits).bit_length() - 1
+                bucket = buckets[rank]
+                i = heapq.heappop(bucket)
+                if not bucket:
+                    del buckets[rank]
+                    words[word] = bits = bits & (bits - 1)
+                    if not bits:
+                        top &= top - 1
+                if waits[i] == rank:
+                    break
+            else:
+                break
             gone = after[i]
             end = after[gone]
             after[i] = end
             waits[gone] = -1
-            if end < n:
-                before[end] = i
-            for left in (before[i], i):
-                if left >= 0:
-                    joined = after[left]
-                    stop = after[joined] if joined < n else n + longest + 1
-                    rank = ranks.get(piece[left:stop]) if stop <= n and stop - left <= longest else None
-                    waits[left] = -1 if rank is None else rank
-                    if rank is not None:
-                        queue.push(rank, left)
+            before[end] = i
+            stop = after[end]  # beyond the piece if nothing follows
+            right = i, rank_of(piece[i:stop]) if stop <= n and stop - i <= longest else None
+            left = before[i]
+            if left >= 0:
+                fresh = right, (left, rank_of(piece[left:end]) if end - left <= longest else None)
+            else:
+                fresh = (right,)
         ids, i = [], 0
         while i < n:
-            ids.append(ranks[piece[i : after[i]]])
+            ids.append(rank_of(piece[i : after[i]]))
             i = after[i]
         return ids
 
@@ -151,10 +139,11 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     of fixed size, read by the driver and broadcast.
     """
     stage(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(ranks)
+    # The second entry stays empty here; a worker process fills its own copy and uses it for all its tasks.
+    shared = docs.sparkSession.sparkContext.broadcast((ranks, {}))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value, pattern)
+        encoder = Encoder(shared.value[0], pattern, shared.value[1])
         for batch in batches:
             ids = [encoder.encode(t) if t else b"" for t in batch.column("text").to_pylist()]
             counts = pa.array([len(x) // 4 for x in ids], pa.int64())

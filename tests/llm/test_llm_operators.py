@@ -365,14 +365,16 @@ def test_bpe(docs, rows, empty):
         assert [int.from_bytes(got[k : k + 4], "little") for k in range(0, len(got), 4)] == judge.encode_ordinary(piece), repr(piece)
 
 
-def test_rank_queue():
-    queue, rnd, want = byte_bpe.RankQueue(50000), random.Random(4), []
-    for _ in range(3000):
-        entry = (rnd.randrange(50000) if rnd.random() < 0.7 else 7, rnd.randrange(1000))
-        queue.push(*entry)
-        want.append(entry)
-    want.sort()
-    assert [queue.pop() for _ in want] == want and queue.pop() is None
+def test_long_pieces():
+    """A piece of a megabyte takes steps in proportion, and ties go to the left."""
+    ranks, pattern = vocabulary()
+    encoder = byte_bpe.Encoder(ranks, pattern)
+    for piece in ("ab" * 150_000, "a" * 300_000, "é" * 100_000):
+        ids = encoder.encode(piece)
+        back = {v: k for k, v in ranks.items()}
+        assert b"".join(back[int.from_bytes(ids[k : k + 4], "little")] for k in range(0, len(ids), 4)).decode() == piece
+    small = byte_bpe.Encoder({b"a": 0, b"b": 1, b"aa": 2, b"ab": 3}, pattern)
+    assert small.merged(b"aaab") == [2, 3] and small.merged(b"aaa") == [2, 0] and small.merged(b"abab") == [3, 3]
 
 
 def test_toxicity(spark, empty):
