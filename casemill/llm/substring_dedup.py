@@ -1,7 +1,7 @@
 """Substring dedup by sliding spans of sentences.
 
-A sentence is a run of words up to one that ends in ``.``, ``!`` or ``?``, or that stands at the end of
-a line or of the text. At every sentence a span begins: the sentence and the ones after it, until
+A sentence is a run of words up to one with ``.``, ``!`` or ``?`` after its last letter or digit, or one
+that stands at the end of a line or of the text. At every sentence a span begins: the sentence and the ones after it, until
 there are ``MIN_SENTENCES`` of them and ``MIN_WORDS`` words. The length of a span follows from its
 own words alone, so a passage that occurs in two places has the same spans in both, wherever it
 stands. Spans are hashed to 128 bits and joined over the whole corpus. Of each repeated span, the
@@ -30,7 +30,12 @@ def _sentences(data: np.ndarray, offsets: np.ndarray, begin: np.ndarray, end: np
     if not len(begin):
         return np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
     lines = np.concatenate([[0], np.cumsum(data == 10)])
-    stops = np.isin(data[end - 1], np.frombuffer(b".!?", np.uint8))
+    # A word ends a sentence if a stop comes after its last letter or digit: quotes and marks may follow.
+    place = np.arange(1, len(data) + 1)
+    letter = (data >= 128) | ((data | 32) >= 97) & ((data | 32) <= 122) | (data >= 48) & (data <= 57)
+    stop_at = np.maximum.accumulate(np.where(np.isin(data, np.frombuffer(b".!?", np.uint8)), place, 0))[end - 1]
+    letter_at = np.maximum.accumulate(np.where(letter, place, 0))[end - 1]
+    stops = (stop_at > begin) & (stop_at > letter_at)
     stops[:-1] |= lines[begin[1:]] > lines[end[:-1]]
     starts = np.ones(len(begin), bool)
     starts[1:] = stops[:-1]

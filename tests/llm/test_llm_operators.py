@@ -30,6 +30,7 @@ def texts():
     passage = " ".join(sentence(rnd, 12) for _ in range(6))
     shared = [f"{sentence(rnd)} {passage} {sentence(rnd)}" for _ in range(4)]
     long = " ".join(sentence(rnd) for _ in range(4000))
+    shared.append(" ".join(f'{sentence(rnd)[:-1]}."' for _ in range(3)) + " " + passage.replace(". ", '.") '))
     odd = [None, "", "   \n", "one two", "One TWO", "one\ttwo", "é𝄞 x y z w", "a" * 30000, long, long + " End.", "\x1c\x85 a b"]
     return base + base[:6] + near + shared + odd + [None, ""]
 
@@ -281,7 +282,7 @@ def brute_spans(rows):
     """Texts after the rule of ``substring_dedup``, by plain loops."""
     split = {}
     for i, t, *_ in rows:
-        parts = [p for p in re.findall(r"(?s).+?(?:[.!?](?=[\x09-\x0d\x20])[\x09-\x0d\x20]+|[\x09-\x0d\x20]*\n[\x09-\x0d\x20]*|\Z)", (t or "").lstrip(" \t\n\r\v\f"))]
+        parts = [p for p in re.findall(r"(?s).+?(?:[.!?][^A-Za-z0-9\x80-\U0010ffff\x09-\x0d\x20]*(?=[\x09-\x0d\x20])[\x09-\x0d\x20]+|[\x09-\x0d\x20]*\n[\x09-\x0d\x20]*|\Z)", (t or "").lstrip(" \t\n\r\v\f"))]
         split[(i, t)] = parts
     seen, gone = {}, {}
     for (i, t), parts in sorted(split.items(), key=lambda x: (x[0][0] is not None, x[0][0] or 0)):
