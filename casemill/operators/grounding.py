@@ -27,19 +27,41 @@ def summary_text(draft: Column, fields: list[str]) -> Column:
     return F.concat_ws(" ", *[draft[f] for f in fields])
 
 
-def prepare_reference(df: DataFrame, source: Column, allowed: Column) -> DataFrame:
-    """Add the three views of the reference text that the tests below look things up in.
+SOURCE_VIEWS = ["_src_lower", "_src_closed", "_src_amounts"]
+
+
+def source_views(df: DataFrame, source: Column) -> DataFrame:
+    """Add the three views of the source text that facts are looked up in, unless they are there.
 
-    They are computed once per row and serve any number of drafts of that row.
+    They are computed once per row and serve the check of the record and every draft of that row.
     """
-    with_text = df.withColumn("_ref", once(F.concat_ws("\n", source, allowed)))
-    return with_text.withColumns(
+    if SOURCE_VIEWS[0] in df.columns:
+        return df
+    return df.withColumns(
         {
-            "_ref_lower": once(F.lower("_ref")),
-            "_ref_closed": once(P.close_digit_gaps(F.col("_ref"))),
-            "_ref_amounts": once(F.array_distinct(F.transform(P.all_amounts(F.col("_ref")), P.amount_key))),
+            "_src_lower": once(F.lower(source)),
+            "_src_closed": once(P.close_digit_gaps(source)),
+            "_src_amounts": once(F.array_distinct(F.transform(P.all_amounts(source), P.amount_key))),
         }
-    ).drop("_ref")
+    )
+
+
+def prepare_reference(df: DataFrame, source: Column, allowed: Column) -> DataFrame:
+    """Add the views of the reference text: those of the source, and of the short allowed text."""
+    own = SOURCE_VIEWS if SOURCE_VIEWS[0] not in df.columns else []
+    none = F.array().cast("array<string>")
+    allowed_amounts = F.transform(P.all_amounts(allowed), P.amount_key)
+    return (
+        source_views(df, source)
+        .withColumns(
+            {
+                "_ref_lower": once(F.concat_ws("\n", "_src_lower", F.lower(allowed))),
+                "_ref_closed": once(F.concat_ws("\n", "_src_closed", P.close_digit_gaps(allowed))),
+                "_ref_amounts": once(F.array_union(F.coalesce("_src_amounts", none), allowed_amounts)),
+            }
+        )
+        .drop(*own)
+    )
 
 
 REFERENCE_COLUMNS = ["_ref_lower", "_ref_closed", "_ref_amounts"]

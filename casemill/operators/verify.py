@@ -9,6 +9,7 @@ from casemill import fixed_values as V
 from casemill.functions import patterns as P
 from casemill.functions import text as T
 from casemill.functions.once import once
+from casemill.operators.grounding import SOURCE_VIEWS, source_views
 
 
 def _given(value: Column) -> Column:
@@ -70,18 +71,17 @@ def verify_record(
     Rows whose record is NULL pass through with NULL warnings.
     """
     r = F.col(record)
-    prepared = df.withColumns(
-        {"_src": once(F.lower(F.col(source))), "_closed": once(P.close_digit_gaps(F.col(source)))}
-    )
+    own = SOURCE_VIEWS if SOURCE_VIEWS[0] not in df.columns else []
+    prepared = source_views(df, F.col(source))
     tested = prepared.withColumns(
         {
             "_email_format": once(bad_email_format(r["email"])),
-            "_email": once(email_absent(r["email"], F.col("_src"))),
-            "_phone": once(phone_absent(r["phone_number"], F.col("_closed"))),
-            "_reference": once(reference_absent(r["reference_number"], F.col("_src"))),
-            "_name": once(name_absent(r["customer_name"], F.col("_src"))),
+            "_email": once(email_absent(r["email"], F.col("_src_lower"))),
+            "_phone": once(phone_absent(r["phone_number"], F.col("_src_closed"))),
+            "_reference": once(reference_absent(r["reference_number"], F.col("_src_lower"))),
+            "_name": once(name_absent(r["customer_name"], F.col("_src_lower"))),
         }
-    ).drop("_src", "_closed")
+    ).drop(*own)
 
     def quoted(flag: str, code: str, field: str) -> Column:
         return F.when(F.col(flag), F.concat(F.lit(f"{code}: "), r[field]))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casemill.functions import classify, prompts
-from casemill.operators import assemble, drafting, report, verify
+from casemill.operators import assemble, drafting, grounding, report, verify
 from casemill.params import Params, RunMeta
 from casemill.session import Stage
 from casemill.sources import manifest as M
@@ -55,7 +55,10 @@ def process(
 
     Without models every step is a column expression on the row: the plan has no shuffle.
     """
-    rows = verify.verify_record(extract(documents, params, extraction_model, stage))
+    rows = extract(documents, params, extraction_model, stage)
+    if generation_model is None:  # the tables between the waves of a model need not hold the views
+        rows = grounding.source_views(rows, F.col("text"))
+    rows = verify.verify_record(rows)
     for task in drafting.TASKS:
         if generation_model is None:
             rows = drafting.draft_with_templates(rows, task, params)
