@@ -23,10 +23,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casemill.llm.common import stage, text_of
+from casemill.llm.common import stage, text_of, trimmed
 
-#: Pieces of at most so many characters are remembered, at most so many of them at a time.
-REMEMBER_CHARS, REMEMBER = 48, 1_000_000
+#: Pieces of at most so many characters are remembered, in two generations of so many.
+REMEMBER_CHARS, REMEMBER = 48, 125_000
 #: Ranks in one word of the bitmap's lower level, as a power of two.
 WORD = 8
 
@@ -38,9 +38,13 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 class Encoder:
-    """``known`` may be shared by encoders of the same ranks and pattern: it holds the ids of pieces seen."""
+    """``known`` may be shared by encoders of the same ranks and pattern: ids of pieces seen, newer and older.
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, known: dict[str, bytes] | None = None):
+    When the newer ones are full they become the older ones; a piece found among those is new again,
+    so that frequent pieces stay.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str, known: list[dict[str, bytes]] | None = None):
         self._ranks = ranks
         self._longest = max(map(len, ranks), default=1)
         # Ranks of all pairs of bytes, at 256 times the first plus the second.
@@ -51,7 +55,7 @@ class Encoder:
         # In ASCII text the letters are A-Z and a-z, the digits 0-9, so the standard matcher will do.
         narrow = pattern.replace(r"[^\s\p{L}\p{N}]", r"[^\sA-Za-z0-9]").replace(r"\p{L}", "[A-Za-z]").replace(r"\p{N}", "[0-9]")
         self._ascii_pieces = self._pieces if r"\p" in narrow else re.compile(narrow, re.ASCII).findall
-        self._known = {} if known is None else known
+        self._known = [{}, {}] if known is None else known
 
     def merged(self, piece: bytes) -> list[int]:
         """Ids of one piece."""
@@ -115,21 +119,22 @@ class Encoder:
         return ids
 
     def _packed(self, piece: str) -> bytes:
-        packed = array("I", self.merged(piece.encode())).tobytes()
-        if len(piece) <= REMEMBER_CHARS:
-            if len(self._known) >= REMEMBER:
-                self._known.clear()
-            self._known[piece] = packed
+        newer, older = self._known
+        packed = older.get(piece) or array("I", self.merged(piece.encode())).tobytes()
+        if len(piece) <= REMEMBER_CHARS and len(newer) < 2 * REMEMBER:
+            newer[piece] = packed
         return packed
 
     def encode(self, text: str) -> bytes:
         """Ids of the text as little-endian unsigned 32-bit numbers."""
         pieces = self._ascii_pieces(text) if text.isascii() else self._pieces(text)
-        known = self._known
+        if len(self._known[0]) >= REMEMBER:
+            self._known[:] = {}, self._known[0]
+        newer = self._known[0]
         try:
-            return b"".join([known[p] for p in pieces])
+            return b"".join([newer[p] for p in pieces])
         except KeyError:
-            return b"".join([known.get(p) or self._packed(p) for p in pieces])
+            return b"".join([newer.get(p) or self._packed(p) for p in pieces])
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
@@ -140,7 +145,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     """
     stage(docs.sparkSession)
     # The second entry stays empty here; a worker process fills its own copy and uses it for all its tasks.
-    shared = docs.sparkSession.sparkContext.broadcast((ranks, {}))
+    shared = docs.sparkSession.sparkContext.broadcast((ranks, [{}, {}]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value[0], pattern, shared.value[1])
@@ -150,7 +155,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), counts, pa.array(ids, pa.binary())], ["doc_id", "n_tokens", "ids"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", text_of().alias("text")).mapInArrow(run, f"doc_id {id_type}, n_tokens long, ids binary")
+    return docs.select("doc_id", text_of().alias("text")).mapInArrow(trimmed(run), f"doc_id {id_type}, n_tokens long, ids binary")
 
 
 def decoder(spark, ranks: dict[bytes, int]):

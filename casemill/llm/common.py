@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casemill.session import Stage
 
 #: Rows in an Arrow batch. Rows are whole texts, so the default of 10,000 would hold far too much at once.
-BATCH_ROWS = 512
+BATCH_ROWS = 128
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +29,23 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def trimmed(run: Callable) -> Callable:
+    """``run`` for Arrow batches, after which the worker hands freed memory back.
+
+    Worker processes outlive their tasks, and several wait beside the executor; what the allocators
+    keep for later would add up over the stages of a job.
+    """
+
+    def and_trim(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return and_trim
+
+
 def wrapped(docs: DataFrame) -> DataFrame:
     """All columns as one, ``_row``, so that no name of theirs meets a helper's name in a join."""
     return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))

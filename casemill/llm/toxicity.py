@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casemill.llm.common import stage, text_of
+from casemill.llm.common import stage, text_of, trimmed
 from casemill.llm.words import mix, odd_constants, word_numbers
 
 #: Bound of the labelled rows that training reads (as an expected number), and passes over them.
@@ -100,7 +100,7 @@ def train(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     sample = known.filter(share < F.lit(min(1.0, TRAIN_ROWS / total))).select(
         order.alias("ord"), F.col("label").cast("int").alias("label"), text_of().alias("text")
     )
-    rows = written.write(sample.mapInArrow(_labelled_features, "ord long, label int, at array<int>"))
+    rows = written.write(sample.mapInArrow(trimmed(_labelled_features), "ord long, label int, at array<int>"))
     # At most DIMENSIONS + 1 numbers reach the driver.
     learned = rows.withColumn("model", F.lit(0)).groupBy("model").applyInPandas(_learn, "at long, w double").toPandas()
     weights = np.zeros(DIMENSIONS + 1)
@@ -113,8 +113,7 @@ def scorer(spark: SparkSession, model: tuple[np.ndarray, np.ndarray]):
     """A column function from text to score; a text without words gets the score of the constant."""
     shared = spark.sparkContext.broadcast((model[0].astype(np.int32), model[1].astype(np.float32)))
 
-    @F.arrow_udf("double")
-    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def scores(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         at, w = shared.value
         dense = np.zeros(DIMENSIONS, np.float32)
         dense[at] = w[:-1]
@@ -123,6 +122,10 @@ def scorer(spark: SparkSession, model: tuple[np.ndarray, np.ndarray]):
             total = np.bincount(of, weights=dense[where], minlength=len(batch)) + float(w[-1])
             yield pa.array(np.round(1.0 / (1.0 + np.exp(-np.clip(total, -30, 30))), 9))
 
+    @F.arrow_udf("double")
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from trimmed(scores)(texts)
+
     return run
 
 
