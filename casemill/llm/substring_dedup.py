@@ -1,12 +1,19 @@
 """Substring dedup by sliding spans of sentences.
 
 A sentence is a run of words up to one with ``.``, ``!`` or ``?`` after its last letter or digit, or one
-that stands at the end of a line or of the text. At every sentence a span begins: the sentence and the ones after it, until
-there are ``MIN_SENTENCES`` of them and ``MIN_WORDS`` words. The length of a span follows from its
-own words alone, so a passage that occurs in two places has the same spans in both, wherever it
-stands. Spans are hashed to 128 bits and joined over the whole corpus. Of each repeated span, the
-first occurrence (smallest id, then position) stays; sentences that any other occurrence covers are
+that stands at the end of a line or of the text. A sentence of more than ``LONG`` words is cut again, where the hash of a word
+and the word before it is the smallest of any ``WINDOW`` words in a row, so the same run of words is cut at the same places
+wherever it stands; "sentence" below means such a part too.
+
+At every sentence a span begins: the sentence and the ones after it, until there are ``MIN_SENTENCES`` of them and
+``MIN_WORDS`` words. Another span ends at every sentence, with as many before it; it covers the last sentences of a passage,
+from which the first kind reaches past its end. The length of a span follows from its own words alone, so a passage that
+occurs in two places has the same spans in both. Spans are hashed to 128 bits and joined over the whole corpus. Of each
+repeated span, the first occurrence (smallest id, then position) stays; sentences that any other occurrence covers are
 removed, with the white space after them.
+
+A sentence has ``LONG`` words at most, so of a repeated run of words, up to ``LONG`` - 1 words at either end can belong to
+sentences that reach beyond it, and stay. A run of ``MIN_WORDS`` + 2 (``LONG`` - 1) = 50 words holds a span in any case.
 """
 
 from __future__ import annotations
@@ -18,11 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casemill.llm.common import stage, text_of
+from casemill.llm.common import reduced, stage, text_of
 from casemill.llm.words import mix, numbers_at, odd_constants, text_bytes, word_places
 
 #: A span has so many sentences and so many words at least.
 MIN_SENTENCES, MIN_WORDS = 2, 20
+#: A sentence of more words is cut, at one word of any ``WINDOW`` in a row at least.
+LONG, WINDOW = 16, 15
 
 
 def _sentences(data: np.ndarray, offsets: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -45,6 +54,37 @@ def _sentences(data: np.ndarray, offsets: np.ndarray, begin: np.ndarray, end: np
     return first, np.searchsorted(begin[first], offsets)
 
 
+def _running(values: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
+    """The ``best`` of every ``width`` values in a row."""
+    done = 1
+    while done < width:
+        step = min(done, width - done)
+        values = best(values[:-step], values[step:])
+        done += step
+    return values
+
+
+def _parts(
+    data: np.ndarray, offsets: np.ndarray, begin: np.ndarray, end: np.ndarray, numbers: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """As ``_sentences``, with long sentences cut."""
+    first, of_text = _sentences(data, offsets, begin, end)
+    length = np.diff(np.append(first, len(begin)))
+    inner = np.repeat(length > LONG, length)
+    inner[first] = False
+    inner = np.flatnonzero(inner)
+    if not len(inner):
+        return first, of_text
+    sentence = np.repeat(np.arange(len(first)), length)[inner]
+    value = mix(numbers[inner - 1] * odd_constants(1, 701)[0] + numbers[inner]) | np.uint64(1)
+    low = _running(value, WINDOW, np.minimum)
+    low[sentence[: len(low)] != sentence[WINDOW - 1 :]] = 0  # windows over two sentences
+    none = np.zeros(WINDOW - 1, np.uint64)
+    cuts = inner[_running(np.concatenate([none, low, none]), WINDOW, np.maximum) == value]
+    first = np.sort(np.concatenate([first, cuts]))
+    return first, np.searchsorted(begin[first], offsets)
+
+
 def _powers(factor: np.uint64, n: int) -> np.ndarray:
     steps = np.full(n, factor, np.uint64)
     steps[:1] = 1
@@ -57,7 +97,8 @@ def _span_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = text_bytes(batch.column("text"))
         begin, end = word_places(data, offsets)
-        first, of_text = _sentences(data, offsets, begin, end)
+        numbers = numbers_at(data, begin, end)
+        first, of_text = _parts(data, offsets, begin, end, numbers)
         n = len(first)
         bounds = np.append(first, len(begin))
         text = np.repeat(np.arange(batch.num_rows), np.diff(of_text))
@@ -66,8 +107,12 @@ def _span_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here = np.arange(n)
         stop = np.maximum(here + MIN_SENTENCES, np.searchsorted(bounds, first + MIN_WORDS))
         fits = stop <= last
-        here, stop, text = here[fits], stop[fits], text[fits]
-        numbers = numbers_at(data, begin, end)
+        # The spans that end at each sentence; many of them are among the others.
+        start = np.minimum(here + 1 - MIN_SENTENCES, np.searchsorted(bounds, bounds[1:] - MIN_WORDS, side="right") - 1)
+        after = start >= of_text[text]
+        both = np.unique(np.concatenate([here[fits] * (n + 1) + stop[fits], start[after] * (n + 1) + here[after] + 1]))
+        here, stop = both // (n + 1), both % (n + 1)
+        text = text[here]
         hashes = []
         for factor, inverse in zip(factors, inverses, strict=True):
             sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(numbers * _powers(factor, len(numbers)), dtype=np.uint64)])
@@ -94,7 +139,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = text_bytes(batch.column("text"))
         begin, end = word_places(data, offsets)
-        first, of_text = _sentences(data, offsets, begin, end)
+        first, of_text = _parts(data, offsets, begin, end, numbers_at(data, begin, end))
         at = begin[first]
         rows = []
         for k, gone in enumerate(batch.column("gone").to_pylist()):
@@ -118,13 +163,14 @@ def repeated_sentences(docs: DataFrame, written) -> DataFrame:
 
     Spans are counted with partial sums before they are shuffled, and only repeated ones are joined
     back, so a passage in a third of all texts is one row in the list and many rows on the other side
-    of a join, which Spark splits.
+    of a join, which Spark splits. Spans are made twice rather than kept, which costs less than storing them.
     """
-    found = written.write(spans(docs))
+    found = spans(docs)
     place = F.struct("doc_id", "digest", "at")
-    several = found.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).filter("n > 1")
-    several = written.write(several.select("h1", "h2", "first"))
-    again = found.join(several, ["h1", "h2"]).filter(~F.col("first").eqNullSafe(place))
+    several = written.write(found.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h1", "h2"))
+    members = written.write(reduced(found, several, "h1").join(several, ["h1", "h2"]))
+    firsts = written.write(members.groupBy("h1", "h2").agg(F.min(place).alias("first")))
+    again = members.join(firsts, ["h1", "h2"]).filter(~F.col("first").eqNullSafe(place))
     at = again.select("doc_id", "digest", F.explode(F.sequence("at", F.col("stop") - 1)).alias("p"))
     return written.write(at.groupBy("doc_id", "digest").agg(F.collect_set("p").alias("gone")))
 

@@ -310,6 +310,34 @@ def test_substring_dedup(docs, rows, empty):
     assert substring_dedup.dedup(empty).count() == 0
 
 
+def test_repeats_without_sentences(spark):
+    """Repeated runs of 50 words in one long sentence, copies without a stop, and a passage's last short sentences."""
+    rnd = random.Random(12)
+
+    def words(n):
+        return [f"w{rnd.randrange(10**9)}" for _ in range(n)]
+
+    rows, shared = [], {}
+    for k in range(40):
+        run = words(50 + k)
+        rows += [(2 * k, " ".join(words(rnd.randint(0, 90)) + run + words(rnd.randint(0, 90))))]
+        rows += [(2 * k + 1, " ".join(words(rnd.randint(0, 90)) + run + words(rnd.randint(0, 90))))]
+        shared[2 * k + 1] = run
+    copy = " ".join(words(24))
+    rows += [(100, copy), (101, copy)]
+    passage = " ".join(" ".join(words(n)) + "." for n in (14, 14, 5, 4))
+    tail = [" ".join(words(6)) + "." for _ in range(4)]
+    rows += [(110, f"{passage} {tail[0]} {tail[1]}"), (111, f"{passage} {tail[2]} {tail[3]}")]
+    got = {r.doc_id: r for r in substring_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    texts = dict(rows)
+    for i, run in shared.items():
+        gone = " ".join(got[i].removed).split()
+        assert got[i - 1].text == texts[i - 1]
+        assert len(gone) >= len(run) - 30 and set(gone) <= set(run)
+    assert (got[100].text, got[101].text) == (copy, "")
+    assert (got[110].text, got[111].text) == (texts[110], f"{tail[2]} {tail[3]}")
+
+
 def test_fingerprints(docs, rows, empty):
     order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0))
     got = {}
