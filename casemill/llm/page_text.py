@@ -8,7 +8,13 @@ surge and a dive are kept, but for the zero ones.
 
 A page that marks its article (``article``, ``main`` or role main) says itself where the text is:
 lines outside have length 0, and the threshold is one character, so that a short paragraph at either
-end of the article is kept. Elsewhere the threshold is ``SURGE``, and link text does not count.
+end of the article is kept. An element round ``main`` switches off nothing in it by its class or id words, nor as a form;
+one round an ``article`` doesn't either if no marked text is left otherwise (a layout may be named after its sidebar, but
+teasers in a sidebar can be articles too). Inside, headings are never off by such words, sections only by class words for
+comments and adverts, since their ids and names come from what they are about.
+
+Elsewhere the threshold is ``SURGE``, and link text does not count; a line that is wholly links stays if it stands between
+a surge and the dive.
 """
 
 from __future__ import annotations
@@ -44,6 +50,9 @@ OFF_WORDS = frozenset(
 #: The words that switch off an ``article`` element too, and those that switch off nothing inside an article.
 ARTICLE_OFF = frozenset("comment comments reply replies related promo sponsored ad advert advertisement".split())
 OUTSIDE_ONLY = frozenset("header masthead banner".split())
+ALL_HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
+#: Raw elements that a slash in the start tag ends.
+FOREIGN = frozenset(("svg", "math"))
 OFF_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
 _TOKEN = re.compile(
@@ -56,53 +65,68 @@ _PART = re.compile(r"[^a-z]+")
 _SPACE = re.compile(r"\s+")
 
 
-def _is_off(name: str, attributes: str, inside: bool) -> bool:
+#: How an element is off: in any case, or unless it holds the marked article.
+NOT_OFF, OFF_ROUND, OFF_ALWAYS = 0, 1, 2
+
+
+def _off(name: str, attributes: str, inside: bool, is_main: bool) -> int:
     """Whether an element holds no article text; a header inside the article may hold its title."""
+    if name == "form":
+        return OFF_ROUND
     if name in OFF or (name == "header" and not inside):
-        return True
+        return OFF_ALWAYS
     if re.search(r"(?:^|\s)hidden(?:\s|$)", attributes):
-        return True
+        return OFF_ALWAYS
     if name in ("html", "body", "main") or "=" not in attributes:
-        return False
-    words = ARTICLE_OFF if name == "article" else OFF_WORDS - OUTSIDE_ONLY if inside else OFF_WORDS
+        return NOT_OFF
+    words = OFF_WORDS - OUTSIDE_ONLY if inside else OFF_WORDS
+    if name == "article" or inside and name == "section":
+        words = ARTICLE_OFF
+    if is_main or inside and name in ALL_HEADINGS:
+        words = frozenset()
+    keys = ("class",) if inside and name == "section" else ("class", "id")
+    off = NOT_OFF
     for key, *values in _ATTRIBUTE.findall(attributes):
         value = "".join(values).lower()
         key = key.lower()
         if key == "role" and value in OFF_ROLES:
-            return True
-        if key in ("class", "id"):
+            return OFF_ALWAYS
+        if key in keys:
             for label in value.split():
                 parts = _PART.split(label)
                 if parts[0] not in ("with", "has", "no", "without") and words.intersection(parts):
-                    return True
+                    off = OFF_ROUND
         if key == "style" and "display:none" in value.replace(" ", ""):
-            return True
+            return OFF_ALWAYS
         if key == "aria-hidden" and value == "true":
-            return True
-    return False
+            return OFF_ALWAYS
+    return off
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
-    """Lines of a page as (text, length that counts, inside the marked article, a heading)."""
-    lines: list[tuple[str, int, bool, bool]] = []
+def lines_of(page: str) -> list[tuple[str, int, bool, bool, bool]]:
+    """Lines of a page as (text, length that counts, inside the marked article, a heading, off)."""
+    lines: list[tuple] = []  # the same, but off twice: with the elements round the article, and without
     held: list[str] = []
     links = 0  # characters of link text in the held line
-    open_: list[tuple[str, bool, bool]] = []  # name, off, marks the article
-    off = marked = in_link = 0
+    open_: list[tuple[str, int, bool, int, int]] = []  # name, how it is off, marks the article, spared and spared_main before
+    off = off_round = marked = in_link = 0
+    spared = spared_main = 0  # of ``off_round``, those that stand round the article; those round a main element
 
     def end_line() -> None:
         nonlocal links
         text = _SPACE.sub(" ", html.unescape("".join(held))).strip()
         if text:
-            title = any(name in HEADINGS for name, _, _ in open_)
-            lines.append((text, 0 if off else max(0, len(text) if marked else len(text) - links), bool(marked), title))
+            title = any(name in HEADINGS for name, *_ in open_)
+            length = max(0, len(text) if marked else len(text) - links)
+            lines.append((text, length, bool(marked), title, off + off_round > spared_main, off + off_round > spared))
         held.clear()
         links = 0
 
     def close(k: int) -> None:
-        nonlocal off, marked, in_link
-        for name, was_off, was_marked in reversed(open_[k:]):
-            off -= was_off
+        nonlocal off, off_round, marked, in_link, spared, spared_main
+        for name, was_off, was_marked, spared, spared_main in reversed(open_[k:]):  # noqa: B020
+            off -= was_off == OFF_ALWAYS
+            off_round -= was_off == OFF_ROUND
             marked -= was_marked
             in_link -= name == "a"
         del open_[k:]
@@ -130,7 +154,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
                     close(k)
                     break
             continue
-        if name in RAW:
+        if name in RAW and not (name in FOREIGN and token.group(3).endswith("/")):
             ends = re.compile(rf"</{re.escape(name)}[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
             at = ends.end() if ends else size
             continue
@@ -145,23 +169,34 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
                 if open_[k][0] not in INLINE:
                     break
         marks = name in ("article", "main") or "main" in re.findall(r"""role\s*=\s*["']?(\w+)""", token.group(3))
-        is_off = _is_off(name, token.group(3), bool(marked))
-        open_.append((name, is_off, marks))
-        off += is_off
+        is_main = marks and name != "article"
+        how = _off(name, token.group(3), bool(marked), is_main)
+        open_.append((name, how, marks, spared, spared_main))
+        if is_main:
+            spared = spared_main = off_round
+        elif marks and not marked:
+            spared = off_round
+        off += how == OFF_ALWAYS
+        off_round += how == OFF_ROUND
         marked += marks
         in_link += name == "a"
     end_line()
-    return lines
+    some = any(inside and n and not strict for _, n, inside, _, strict, _ in lines)
+    found = []
+    for text, n, inside, title, strict, lenient in lines:
+        is_off = strict if some else lenient
+        found.append((text, 0 if is_off else n, inside, title, is_off))
+    return found
 
 
-def main_lines(lines: list[tuple[str, int, bool, bool]], window: int = WINDOW, surge: int = SURGE) -> list[str]:
+def main_lines(lines: list[tuple[str, int, bool, bool, bool]], window: int = WINDOW, surge: int = SURGE) -> list[str]:
     """The lines between a surge and the dive after it.
 
     A surge begins at a line of at least half its window's mean, so that a short line before the text
     is left out; headings that stand right before it belong to it.
     """
-    marked = any(inside and n for _, n, inside, _ in lines)
-    length = np.array([n if inside or not marked else 0 for _, n, inside, _ in lines], dtype=np.int64)
+    marked = any(inside and n for _, n, inside, _, _ in lines)
+    length = np.array([n if inside or not marked else 0 for _, n, inside, _, _ in lines], dtype=np.int64)
     if not length.any():
         return []
     sums = np.convolve(length, np.ones(window, dtype=np.int64))[window - 1 :]  # of the window that begins at a line
@@ -177,7 +212,7 @@ def main_lines(lines: list[tuple[str, int, bool, bool]], window: int = WINDOW, s
                 before -= 1
         elif within and not sums[k]:
             within = False
-        kept[k] |= within and length[k] > 0
+        kept[k] |= within and (length[k] > 0 or not marked and not lines[k][4])
     return [line[0] for line, keep in zip(lines, kept, strict=True) if keep]
 
 

@@ -242,6 +242,24 @@ def test_page_text(spark):
     assert page_text.extract(pages.limit(0)).count() == 0
 
 
+def test_legal_markup():
+    main_text = page_text.main_text
+    article = "<article><p>One</p><p>Two</p></article>"
+    assert main_text("<article><p>One <svg width='1'/>1</p><math/><p>Two</p></article>") == "One\n1\nTwo"
+    assert main_text("<article><svg><text>no</text></svg><p>One</p></article>") == "One"
+    for round_ in ("div class='layout right-sidebar'", "div id='search'", "form id='f'"):
+        end = round_.split()[0]
+        assert main_text(f"<{round_}><div>{article}</div></{end}><p>Legal</p>") == "One\nTwo", round_
+        assert main_text(f"<{round_}><main><p>One</p></main></{end}><div>{article}</div>") == "One\nOne\nTwo", round_
+    assert main_text(f"<main><p>One</p></main><div class='sidebar'>{article}</div>") == "One"
+    assert main_text("<div role='main' class='content sidebar'><p>One</p></div>") == "One"
+    inside = "<h2 id='related-work'>Related</h2><section id='search'><p>Find</p></section><section class='share'><p>Shares</p></section>"
+    assert main_text(f"<article>{inside}<div class='share'>Tweet</div></article>") == "Related\nFind\nShares"
+    long = "word " * 30
+    plain = f"<p><a>Menu</a></p><p>{long}</p><p><a>The report</a></p><p>{long}</p><p><a>Next</a></p><div class='ad'>Buy</div>"
+    assert main_text(plain).split("\n") == [long.strip(), "The report", long.strip()]
+
+
 def test_archives(spark, tmp_path):
     pages = [(k, f"http://x/{k}", f"<p>{k % 7}</p>\r\n\r\n" * (k % 7 + 1)) for k in range(60)]
     pages += [(60, None, None), (61, "u\r\nX: y", ""), (62, "z", "€" * 100000), (None, "n", "<p>1</p>\r\n\r\n" * 2), (62, "z", "€" * 100000)]
