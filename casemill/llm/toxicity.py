@@ -137,18 +137,21 @@ def held_out(id_name: str = "doc_id"):
 def model_of(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The model of the labelled documents that are not held out.
 
-    Only the text and the label are used. Of labelled rows, those under the sampling threshold are
-    picked before the join, so the join moves few texts.
+    Only the text and the label are used. Of labelled ids, those under the sampling threshold are
+    picked before the join, so the join moves few texts. Of the rows of a picked id, one text (by its
+    hash) is trained on, so that the bound holds for rows and a repeated id displaces no other.
     """
+    written = stage(docs.sparkSession)
     narrow = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").alias("label")).filter(~held_out("_id") & F.col("label").isNotNull())
+    narrow = written.write(narrow.distinct())
     total = narrow.count()
     order = F.xxhash64(F.coalesce(F.col("_id").cast("string"), F.lit("")))
     share = F.pmod(order, F.lit(1 << 30)) / F.lit(float(1 << 30))
     picked = narrow.filter(share < F.lit(min(1.0, TRAIN_ROWS / max(total, 1))))
-    written = stage(docs.sparkSession)
     # TRAIN_ROWS narrow rows at most, so they can go to every task, and no text moves but theirs.
     joined = docs.select("doc_id", "text").join(F.broadcast(written.write(picked)), F.col("doc_id") == F.col("_id"))
-    return train(written.write(joined.select("doc_id", "text", "label")))
+    one_each = joined.groupBy("doc_id", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text"))
+    return train(written.write(one_each))
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -450,3 +450,14 @@ def test_toxicity(spark, empty):
     plain = docs.drop("label", "toxic")
     assert toxicity.scored(empty, marks).count() == 0
     assert {r.score for r in toxicity.scored(plain.limit(3), marks.limit(0)).collect()} == {0.0}
+
+
+def test_repeated_ids_in_training(spark, monkeypatch):
+    """The bound of training rows holds when one labelled id stands in most rows of either table."""
+    docs = [(i, f"text {i}") for i in range(300)] + [(0, f"other {k}") for k in range(1500)]
+    marks = [(i, 0, i % 2) for i in range(300)] + [(0, 0, 0)] * 1500
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda labelled: seen.append(labelled.collect()))
+    toxicity.model_of(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(marks, "doc_id long, quality int, toxic int"))
+    want = [i for i in range(300) if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert 0 in want and sorted(r.doc_id for r in seen[0]) == want
