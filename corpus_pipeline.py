@@ -8,6 +8,7 @@ shared folder and reads it again, so a lost executor costs one stage's tasks at
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from casemill.llm import byte_bpe, exact_dedup, mixing, near_dedup, toxicity
 from casemill.llm.common import stage, table
@@ -35,8 +36,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, n_tokens, ids`` per row; ids are little-endian unsigned 32-bit numbers."""
-    return byte_bpe.encode(docs, *vocabulary())
+    """``doc_id, n_tokens, ids, decoded_sha256`` per row; ids are little-endian unsigned 32-bit numbers.
+
+    The digest is that of the bytes the ids decode to.
+    """
+    trip = byte_bpe.round_trip(docs, *vocabulary())
+    return trip.withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
 
 
 STAGES = [

@@ -1,6 +1,7 @@
 """The pipeline stage by stage against plain rules, on the smallest tables and on no rows at all."""
 
 import collections
+import hashlib
 
 import corpus_pipeline
 import pandas as pd
@@ -60,6 +61,13 @@ def test_stages(stages):
     assert sorted(zip(rows["byte_bpe"].doc_id, rows["byte_bpe"].n_tokens)) == want
 
 
+def test_ids_are_decoded(spark):
+    texts = {1: "plain words", 2: "é𝄞 \n 漢", 3: ""}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.decoded_sha256 for r in corpus_pipeline.encode(spark, docs, SF).collect()}
+    assert got == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in texts.items()}
+
+
 def test_run_and_no_rows(spark, stages):
     got = corpus_pipeline.run(spark, SF).toPandas()
     pd.testing.assert_series_equal(got.doc_id.sort_values().reset_index(drop=True), stages[-1][1].doc_id.sort_values().reset_index(drop=True))
