@@ -9,11 +9,14 @@ from casemill.llm import (
     byte_bpe,
     exact_dedup,
     fingerprints,
+    hard_negatives,
+    language_id,
     mixing,
     near_dedup,
     page_text,
     secret_scan,
     substring_dedup,
+    token_alignment,
     toxicity,
     warc,
 )
@@ -68,6 +71,21 @@ def op10_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_strassen_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op12_ftrl_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identified(table(spark, sf_dir, "documents"))
+
+
+def op13_spill_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return token_alignment.aligned(table(spark, sf_dir, "documents"), *paths, public_tokenizers.PATTERN)
+
+
 QUERIES = {
     "op1_hash_threshold_mix": op1_hash_threshold_mix,
     "op2_minhash_hamming_join": op2_minhash_hamming_join,
@@ -79,6 +97,9 @@ QUERIES = {
     "op8_chunk_recipes": op8_chunk_recipes,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_ftrl_toxicity": op10_ftrl_toxicity,
+    "op11_strassen_hard_negatives": op11_strassen_hard_negatives,
+    "op12_ftrl_language_id": op12_ftrl_language_id,
+    "op13_spill_token_alignment": op13_spill_token_alignment,
 }
 
 
@@ -161,6 +182,28 @@ ORACLE = {
                doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
     """,
+    "op11_strassen_hard_negatives": """
+        WITH v AS (
+            SELECT row_number() OVER () AS n, vec_id AS id,
+                   CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), pairs AS (
+            SELECT a.n AS a, a.id AS anchor_id, c.n AS c, c.id AS id, a.label = c.label AS same,
+                   coalesce(list_sum(list_transform(range(1, least(len(a.q), len(c.q)) + 1), lambda i: a.q[i] * c.q[i])), 0)::BIGINT AS score
+            FROM v a JOIN v c ON a.n <> c.n WHERE a.id % 50 = 0
+        ), positives AS (
+            SELECT * FROM pairs WHERE same
+            QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, id NULLS LAST) <= 5
+        )
+        SELECT p.anchor_id, p.id AS positive_id,
+               row_number() OVER (PARTITION BY p.a, p.c ORDER BY n.score DESC, n.id NULLS LAST)::INT AS rank,
+               n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+        FROM positives p JOIN pairs n ON p.a = n.a AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+        QUALIFY rank <= 3
+    """,
     "op3_trigram_secret_scan": _secret_sql(),
     "op5_warc_zstd": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS sha FROM pages),
