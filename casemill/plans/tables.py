@@ -227,8 +227,10 @@ def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A projection of the order table: nothing is written, and columns that a query does not
     use are not made. The few narrow order columns are dealt out by key before the texts
-    are made from them, since the text work is far larger than the table it comes from.
+    are made from them, since the text work is far larger than the table it comes from. A set
+    number of partitions, because adaptive execution would join partitions of so few bytes to one or two.
     """
+    parts = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     narrow = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    narrow.repartition("o_orderkey").createOrReplaceTempView("casemill_orders")
+    narrow.repartition(parts, "o_orderkey").createOrReplaceTempView("casemill_orders")
     return spark.sql(CASES_SQL.replace("FROM orders", "FROM casemill_orders"))
