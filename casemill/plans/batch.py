@@ -101,8 +101,8 @@ def process_folder(
 ) -> DataFrame:
     """Result rows for every file of a folder, unreadable and unsupported ones included."""
     params = params or Params()
-    named = assemble.assign_doc_ids(M.discover(spark, folder))
-    raw = readers.read_documents(spark, named, folder, params, read_with)
+    named = M.with_doc_ids(M.discover(spark, folder))
+    raw = readers.read_documents(named, params, read_with)
     documents = assemble.prepare_text(raw, "raw_text", params.max_document_chars).select(
         "doc_id", "file_name", "file_type", "text", "truncated", "load_error"
     )

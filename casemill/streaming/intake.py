@@ -9,7 +9,7 @@ from casemill.functions import text as T
 from casemill.operators import assemble
 from casemill.params import Params
 from casemill.plans import batch
-from casemill.sources.manifest import list_folder, size_error, with_name_parts
+from casemill.sources.manifest import discover, size_error, with_name_parts
 from casemill.sources.readers import apply_readers
 
 BINARY_FILE_TYPE = "path string, modificationTime timestamp, length bigint, content binary"
@@ -40,8 +40,7 @@ def stream_results(files: DataFrame, params: Params | None = None, read_with: di
 
 def unseen_inputs(spark: SparkSession, folder: str, results: DataFrame) -> DataFrame:
     """Files of ``folder`` without a result row: new ones, and those a file stream never lists (empty, or named with ``_``)."""
-    listed = with_name_parts(list_folder(spark, folder))
-    return listed.join(results.select("file_name"), "file_name", "left_anti")
+    return discover(spark, folder).join(results.select("file_name"), "file_name", "left_anti")
 
 
 def run_available(spark: SparkSession, folder: str, out_dir: str, checkpoint: str, params: Params | None = None):

@@ -3,11 +3,11 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from casemill.operators import quality, report
+from casemill.operators import assemble, quality, report
 from casemill.params import Params
 from casemill.plans import batch
 from casemill.plans.fixtures import docx_bytes
-from casemill.sources import manifest, readback, readers
+from casemill.sources import casedocs, manifest, readback, readers
 from casemill.streaming import intake
 
 LETTER = """Customer name: Nora Quist
@@ -49,8 +49,9 @@ def test_manifest(spark, folder):
         ["a.txt", "a.docx", "legacy file.TXT", "_under.txt", "empty.txt", "tiny.txt", "broken.docx", "scan.pdf", "big.txt",
          "long.txt", "list.csv", "noext"])
     assert rows["empty.txt"].length == 0 and not rows["noext"].supported
-    paged = manifest.list_folder(spark, str(folder), page=4)
-    assert paged.count() == 14
+    assert casedocs.listing(spark, str(folder), shards=3).count() == 14
+    assert {n: r.same_stem for n, r in rows.items() if n[0] in "aels"} == {
+        "a.txt": 2, "a.docx": 2, "empty.txt": 1, "legacy file.TXT": 1, "scan.pdf": 1, "list.csv": 0, "long.txt": 1}
     with pytest.raises(FileNotFoundError):
         manifest.discover(spark, str(folder / "nowhere"))
     with pytest.raises(NotADirectoryError):
@@ -98,14 +99,40 @@ def test_run_over_a_folder(spark, folder, tmp_path):
     assert readback.read_structured(spark, f"{out}/structured_data").count() == 10 and again.meta.run_id != run.meta.run_id
 
 
-def test_no_limits_unless_named_and_one_scan_of_bytes(spark, folder):
+def test_no_limits_unless_named_and_bytes_in_no_join(spark, folder):
     rows = batch.process_folder(spark, str(folder))
     found = {r.file_name: r for r in rows.select("file_name", "status", "warnings").collect()}
     assert found["big.txt"].status == "SUCCESS" and not any("text_cut" in w for w in found["long.txt"].warnings)
-    plan = rows._jdf.queryExecution().optimizedPlan().toString()
-    scans = [line for line in plan.splitlines() if "Relation [path" in line and "binaryFile" in line]
-    physical = rows._jdf.queryExecution().sparkPlan().toString()
-    assert len(scans) == 2 and physical.count("content#") and sum("FileScan binaryFile" in x and "content#" in x for x in physical.splitlines()) == 1
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    # Bytes appear behind the last exchange: nothing that holds them is joined or shuffled.
+    assert "Join" not in plan and plan.count("MapInArrow") == 1
+    assert all("content#" not in line for line in plan.split("MapInArrow", 1)[1].splitlines()[1:])
+
+
+def test_many_files_are_listed_by_several_tasks(spark, tmp_path):
+    data = tmp_path / "many"
+    data.mkdir()
+    for k in range(20_000):
+        (data / f"{'_' * (k % 3 == 0)}case {k // 2}#%{'.txt' if k % 2 else '.docx'}").touch()
+    spark.dataSource.register(casedocs.CaseDocs)
+    found = spark.read.format("casedocs").option("shards", 5).load(f"file:{data}").withColumn("shard", F.spark_partition_id())
+    per_task = [r["count"] for r in found.groupBy("shard").count().collect()]
+    assert len(per_task) == 5 and sum(per_task) == 20_000 and max(per_task) < 6_000
+    named = manifest.with_doc_ids(manifest.discover(spark, str(data)))
+    assert named.count() == named.select("doc_id").distinct().count() == 20_000
+    want = assemble.assign_doc_ids(named.drop("doc_id", "same_stem"))
+    assert want.select("path", "doc_id").exceptAll(named.select("path", "doc_id")).isEmpty()
+
+
+def test_names_and_files_that_are_hard_to_open(spark, tmp_path):
+    for name in ("a b#c%20?.txt", "_é ü.txt", "gone.txt"):
+        (tmp_path / name).write_text(f"text of {name}")
+    rows = manifest.discover(spark, str(tmp_path))
+    (tmp_path / "gone.txt").unlink()
+    (tmp_path / "gone.txt").mkdir()
+    got = {r.file_name: r for r in readers.load_contents(rows, PARAMS).collect()}
+    assert got["a b#c%20?.txt"].content == b"text of a b#c%20?.txt" and got["_é ü.txt"].content == "text of _é ü.txt".encode()
+    assert got["gone.txt"].content is None and got["gone.txt"].load_error.startswith(("unreadable: ", "missing_file: "))
 
 
 def test_reader_for_another_type(spark, folder):
