@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casemill.functions import text as T
 from casemill.operators import assemble
-from casemill.params import Params
+from casemill.params import Params, RunMeta
 from casemill.plans import batch
+from casemill.sources import caserun, sinks
 from casemill.sources.manifest import discover, size_error, with_name_parts
 from casemill.sources.readers import apply_readers
 
@@ -43,12 +46,33 @@ def unseen_inputs(spark: SparkSession, folder: str, results: DataFrame) -> DataF
     return discover(spark, folder).join(results.select("file_name"), "file_name", "left_anti")
 
 
-def run_available(spark: SparkSession, folder: str, out_dir: str, checkpoint: str, params: Params | None = None):
-    """Process what has arrived since the last call and stop."""
+def publish_batch(rows: DataFrame, batch_id: int, out_dir: str, meta: RunMeta) -> None:
+    """Publish one batch of a stream under the key (run, batch).
+
+    The result rows replace those of an earlier attempt at the batch, and the documents are published
+    once, so a batch that is replayed after a failure writes nothing twice.
+    """
+    spark, key = rows.sparkSession, f"{meta.run_id}-{batch_id}"
+    path = f"{out_dir}/{batch.RESULTS_DIR}/run_id={key}"
+    if caserun.is_published(spark, out_dir, key):
+        return
+    rows.write.mode("overwrite").parquet(path)
+    written = spark.read.schema(rows.schema).parquet(path)
+    sinks.write_documents(written, replace(meta, run_id=key), out_dir, clean=False)
+
+
+def run_available(
+    spark: SparkSession, folder: str, out_dir: str, checkpoint: str, params: Params | None = None, meta: RunMeta | None = None
+) -> DataFrame:
+    """Process what has arrived since the last call and stop; returns the result rows of all batches so far.
+
+    ``meta.run_id`` names the stream: give the same one with the same checkpoint.
+    """
+    meta = meta or RunMeta("stream")
     rows = stream_results(arriving_files(spark, folder), params)
     query = (
-        rows.writeStream.format("parquet").outputMode("append")
-        .option("path", out_dir).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        rows.writeStream.foreachBatch(lambda found, batch_id: publish_batch(found, batch_id, out_dir, meta))
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    return spark.read.schema(rows.schema).parquet(out_dir)
+    return spark.read.schema(rows.schema).option("recursiveFileLookup", True).parquet(f"{out_dir}/{batch.RESULTS_DIR}")

@@ -4,10 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from casemill.operators import assemble, quality, report
-from casemill.params import Params
+from casemill.params import Params, RunMeta
 from casemill.plans import batch
 from casemill.plans.fixtures import docx_bytes
-from casemill.sources import casedocs, manifest, readback, readers
+from casemill.sources import casedocs, caserun, manifest, readback, readers
 from casemill.streaming import intake
 
 LETTER = """Customer name: Nora Quist
@@ -205,6 +205,66 @@ def test_stream_intake(spark, tmp_path):
     assert [r.file_name for r in intake.unseen_inputs(spark, str(data), done).collect()] == ["f.txt"]
 
 
+def _outputs(spark, n=40, fail_at=None):
+    @F.udf("string")
+    def content(k):
+        if k == fail_at:
+            raise RuntimeError("task lost")
+        return json.dumps({"doc_id": f"d{k}"})
+
+    sets = F.element_at(F.array(*map(F.lit, caserun.DATA_SETS)), (F.col("id") % 3 + 1).cast("int"))
+    return spark.range(0, n, 1, 4).select(sets.alias("data_set"), F.concat(F.lit("d"), "id").alias("doc_id"), content("id").alias("content"))
+
+
+def _visible(root):
+    return sorted(str(p.relative_to(root)) for p in root.rglob("*") if p.is_file() and not p.name.endswith(".crc") and caserun.STAGING_DIR not in p.parts)
+
+
+def test_a_failed_task_publishes_nothing(spark, tmp_path):
+    out = tmp_path / "out"
+    with pytest.raises(Exception, match="task lost"):
+        caserun.publish(_outputs(spark, fail_at=39), str(out), "r1")
+    assert _visible(out) == [] and not caserun.is_published(spark, str(out), "r1")
+    assert readback.listing_of_outputs(spark, str(out), "r1").count() == 0
+    caserun.publish(_outputs(spark), str(out), "r1")
+    assert not list((out / caserun.STAGING_DIR).iterdir())
+    assert readback.listing_of_outputs(spark, str(out), "r1").count() == 40
+    rows = {r.data_set: r.rows for r in caserun.published_runs(spark, str(out)).collect()}
+    assert rows == dict(zip(caserun.DATA_SETS, (14, 13, 13)))
+
+
+def test_runs_are_published_once_kept_or_replaced(spark, tmp_path):
+    out = tmp_path / "out"
+    caserun.publish(_outputs(spark), str(out), "r1")
+    before = _visible(out)
+    caserun.publish(_outputs(spark, n=99), str(out), "r1")
+    assert _visible(out) == before
+    caserun.publish(_outputs(spark, n=9), str(out), "r2")
+    assert {r.run_id for r in caserun.published_runs(spark, str(out)).collect()} == {"r1", "r2"}
+    # Files of an attempt whose task was never reported do not become visible.
+    writer = caserun.CaseRun({"path": f"file:{out}", "run_id": "r4"}).writer(None, False)
+    import pyarrow as pa
+
+    batch_ = pa.RecordBatch.from_pydict({"data_set": ["customer_emails"], "doc_id": ["x"], "content": ["y"]})
+    lost, kept = writer.write(iter([batch_])), writer.write(iter([batch_]))
+    writer.commit([kept, None])
+    assert lost.files != kept.files and [r.output for r in readback.listing_of_outputs(spark, str(out), "r4").collect()] == ["customer_emails:x"]
+    caserun.publish(_outputs(spark, n=0), str(out), "r3", clean=True)
+    assert _visible(out) == ["_runs/r3.json"] and readback.listing_of_outputs(spark, str(out), "r3").count() == 0
+
+
+def test_a_replayed_batch_writes_nothing_twice(spark, folder, tmp_path):
+    out, meta = str(tmp_path / "out"), RunMeta("s1", processed_at="2026-01-01T00:00:00+00:00")
+    rows = batch.process_folder(spark, str(folder), PARAMS)
+    intake.publish_batch(rows, 0, out, meta)
+    before = _visible(tmp_path / "out")
+    intake.publish_batch(rows, 0, out, meta)
+    assert _visible(tmp_path / "out") == before
+    intake.publish_batch(rows.filter("file_name = 'a.txt'"), 1, out, meta)
+    counts = {(r.run_id, r.rows) for r in caserun.published_runs(spark, out).collect()}
+    assert counts == {("s1-0", 5), ("s1-1", 1)}
+
+
 def test_filter_reaches_the_scan(spark, tmp_path):
     spark.range(50).selectExpr("cast(id as string) id", "repeat('word ', 20) text").write.parquet(str(tmp_path / "t"))
     rows = batch.process_table(spark.read.parquet(str(tmp_path / "t")), "id", "text", where="id = '5'")
