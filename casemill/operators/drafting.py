@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +14,7 @@ from casemill.functions import text as T
 from casemill.functions.once import once
 from casemill.operators import grounding as G
 from casemill.operators import validate
+from casemill.operators.asking import Answers, Model, asked, prompt_digest
 from casemill.params import Params
 from casemill.session import Stage
 
@@ -182,92 +181,99 @@ def draft_with_templates(df: DataFrame, task: Task, params: Params, record: str
 
 
 # --------------------------------------------------------------------------- model calls
-_ANSWER = "raw string, input_tokens bigint, output_tokens bigint, error string, error_classes array<string>, seconds double"
-
-
-def model_udf(call: Callable[[str, str], dict]):
-    """Wrap ``call(system, user) -> {"raw", "input_tokens", "output_tokens"}``.
-
-    Only the two prompt columns travel to Python. An exception becomes a value: its
-    message and the names of its class and base classes.
-    """
-
-    def one(system: str, user: str) -> tuple:
-        began = time.perf_counter()
-        try:
-            answer = call(system, user)
-            got = answer["raw"], answer.get("input_tokens", 0), answer.get("output_tokens", 0), None, None
-        except Exception as exc:  # noqa: BLE001 - errors are data here
-            got = None, 0, 0, f"{type(exc).__name__}: {exc}", [c.__name__ for c in type(exc).__mro__]
-        return *got, time.perf_counter() - began
-
-    @F.pandas_udf(_ANSWER)
-    def ask(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for systems, users in batches:
-            yield pd.DataFrame(
-                [one(s, u) for s, u in zip(systems, users)],
-                columns=["raw", "input_tokens", "output_tokens", "error", "error_classes", "seconds"],
-            )
-
-    return ask.asNondeterministic()
-
-
 def is_retryable(error_classes: Column) -> Column:
     """Anything may be retried unless one of its classes is on the fixed list."""
     listed = F.array(*[F.lit(n) for n in V.NON_RETRYABLE_ERRORS])
     return ~F.coalesce(F.arrays_overlap(error_classes, listed), F.lit(False))
 
 
-_CALL_COLUMNS = ["draft", "call_error", "call_input_tokens", "call_output_tokens", "call_attempts"]  # and call_seconds, summed over the waves
+def _judged(rows: DataFrame, parse: Callable[..., DataFrame]) -> DataFrame:
+    """Add ``draft``, ``_error`` and ``_retry`` to rows with an answer in ``_call``."""
+    parsed = parse(rows.withColumn("_raw", F.col("_call.raw")), "_raw", out="draft", problems="_problems")
+    failed = F.col("_call.error").isNotNull()
+    bad = ~failed & F.col("draft").isNull()
+    return parsed.withColumns(
+        {
+            "_error": F.when(failed, F.col("_call.error")).when(
+                bad, F.concat(F.lit("InvalidOutput: "), F.array_join("_problems", ", "))
+            ),
+            "_retry": (failed & is_retryable(F.col("_call.error_classes"))) | bad,
+        }
+    )
 
 
-def call_model(df: DataFrame, ask, parse: Callable[..., DataFrame], params: Params, stage: Stage) -> DataFrame:
-    """Ask for every row holding ``_system`` and ``_user``; repeat the failed rows in waves.
+def _waves(rows: DataFrame, first: dict[str, Column], step: Callable[[DataFrame], DataFrame], most: int, stage: Stage) -> DataFrame:
+    """The last state of each ``_key`` of ``rows`` after at most ``most`` waves.
 
-    Each wave is written before its outcome is looked at, so no answer is asked for twice
-    when a later step is recomputed. Run this stage with ``spark.speculation`` off, or
-    speculative tasks repeat calls.
+    ``first`` gives the columns of the state before the first wave; ``step`` takes rows with their
+    state and returns ``_key``, the columns of the next state and more, ``_more`` among them. Only
+    that is written. A later wave joins it to the rows whose state asks for more, so what a wave
+    writes and reads grows with the rows that still need work, and texts are never written.
     """
     done: list[DataFrame] = []
-    pending = df.withColumn("call_seconds", F.lit(0.0))
-    for attempt in range(1, params.max_attempts + 1):
-        answered = pending.withColumn("_call", ask("_system", "_user")).withColumn("_raw", F.col("_call.raw"))
-        parsed = parse(answered, "_raw", out="draft", problems="_problems")
-        failed = F.col("_call.error").isNotNull()
-        bad = ~failed & F.col("draft").isNull()
-        judged = parsed.withColumns(
-            {
-                "call_error": F.when(failed, F.col("_call.error")).when(
-                    bad, F.concat(F.lit("InvalidOutput: "), F.array_join("_problems", ", "))
-                ),
-                "call_input_tokens": F.when(failed | bad, F.lit(0)).otherwise(F.col("_call.input_tokens")).cast("bigint"),
-                "call_output_tokens": F.when(failed | bad, F.lit(0)).otherwise(F.col("_call.output_tokens")).cast("bigint"),
-                "call_attempts": F.lit(attempt).cast("bigint"),
-                "call_seconds": F.col("call_seconds") + F.col("_call.seconds"),
-                "_again": (failed & is_retryable(F.col("_call.error_classes"))) | bad,
-            }
-        ).drop("_call", "_raw", "_problems")
-        written = stage.write(judged)
-        if attempt == params.max_attempts:
-            done.append(written.drop("_again"))
-            break
-        done.append(written.filter(~F.col("_again")).drop("_again"))
-        pending = written.filter("_again").drop("_again", *_CALL_COLUMNS)
-        if pending.isEmpty():
+    pending = rows.withColumns(first)
+    for wave in range(most):
+        written = stage.write(step(pending).withColumn("_wave", F.lit(wave)))
+        done.append(written)
+        again = written.filter("_more")
+        if wave == most - 1 or again.isEmpty():
             break
-    result = done[0]
+        # Rows of equal prompts have one key; one state serves them all.
+        state = again.groupBy("_key").agg(*[F.max_by(c, F.col("_spent_seconds")).alias(c) for c in first])
+        pending = rows.join(state, "_key")
+    every = done[0]
     for more in done[1:]:
-        result = result.unionByName(more)
-    return result
+        every = every.unionByName(more)
+    columns = [c for c in every.columns if c not in ("_key", "_wave", "_more")]
+    last = every.groupBy("_key").agg(F.max_by(F.struct(*columns), F.struct("_wave", "_spent_seconds")).alias("_last"))
+    return last.select("_key", "_last.*")
+
+
+def call_model(
+    df: DataFrame, call: Model, parse: Callable[..., DataFrame], params: Params, stage: Stage, answers: Answers | None = None
+) -> DataFrame:
+    """Ask for every row holding ``_system`` and ``_user``; repeat the failed rows in waves.
+
+    Adds draft, error, tokens, attempts and seconds. The outcome of each wave is written before it is looked
+    at, so no answer is asked for twice when a later step is recomputed, and with ``answers`` not even
+    when the whole run is started again. Run this stage with ``spark.speculation`` off, or
+    speculative tasks repeat calls. ``df`` is written once: the waves join states to it, and a join on
+    top of long chains of text rules is more than the optimizer can plan.
+    """
+    return _called(stage.write(df), call, parse, params, stage, answers)
+
+
+def _called(
+    df: DataFrame, call: Model, parse: Callable[..., DataFrame], params: Params, stage: Stage, answers: Answers | None
+) -> DataFrame:
+    prompted = df.withColumn("_user", once(F.col("_user")))
+    keyed = prompted.withColumn("_key", once(prompt_digest(F.col("_system"), F.col("_user"))))
+
+    def step(rows: DataFrame) -> DataFrame:
+        judged = _judged(asked(rows, call, F.col("_try"), answers, params.calls_in_flight), parse)
+
+        def spent(tokens: str) -> Column:
+            return F.when(F.col("_error").isNull(), F.col(f"_call.{tokens}")).otherwise(0).cast("bigint")
+
+        return judged.select(
+            "_key", "draft", F.col("_error").alias("call_error"), spent("input_tokens").alias("call_input_tokens"),
+            spent("output_tokens").alias("call_output_tokens"), F.col("_try").alias("call_attempts"), (F.col("_try") + 1).alias("_try"),
+            (F.col("_spent_seconds") + F.col("_call.seconds")).alias("_spent_seconds"), F.col("_retry").alias("_more"),
+        )
+
+    first = {"_try": F.lit(1).cast("bigint"), "_spent_seconds": F.lit(0.0)}
+    last = _waves(keyed.select("_key", "_system", "_user"), first, step, params.max_attempts, stage)
+    return keyed.join(last.drop("_try").withColumnRenamed("_spent_seconds", "call_seconds"), "_key").drop("_key")
 
 
-def extract_with_model(df: DataFrame, call, params: Params, stage: Stage) -> DataFrame:
+def extract_with_model(df: DataFrame, call: Model, params: Params, stage: Stage, answers: Answers | None = None) -> DataFrame:
     """Add record, error and cost columns from a model; rows without text pass through."""
+    df = stage.write(df)
     ready = df.filter(F.col("text").isNotNull()).withColumns(
         {"_system": F.lit(prompts.RECORD_SYSTEM), "_user": prompts.record_user(F.col("file_name"), F.col("text"))}
     )
-    asked = call_model(ready, model_udf(call), validate.parse_record, params, stage)
-    named = asked.select(
+    rows = _called(ready, call, validate.parse_record, params, stage, answers)
+    named = rows.select(
         *df.columns,
         F.col("draft").alias("extraction"),
         F.col("call_error").alias("extraction_error"),
@@ -279,64 +285,89 @@ def extract_with_model(df: DataFrame, call, params: Params, stage: Stage) -> Dat
     return named.unionByName(df.filter(F.col("text").isNull()), allowMissingColumns=True)
 
 
-def draft_with_model(
-    df: DataFrame, task: Task, call, params: Params, stage: Stage, record: str = "extraction"
+def _draft_key(task: Task, params: Params, record: str) -> Column:
+    """Digest of all that a draft is made from; null for rows without a record."""
+    user = prompts.draft_user(F.col(record), F.col("text"), F.lit(None).cast("array<string>"))
+    return once(F.when(F.col(record).isNotNull(), prompt_digest(F.lit(task.system(params)), user)))
+
+
+def draft_outcomes(
+    df: DataFrame, task: Task, call: Model, params: Params, stage: Stage, record: str = "extraction", answers: Answers | None = None
 ) -> DataFrame:
-    """Grounded drafting with a model: waves over the shrinking set of rejected drafts."""
-    ask = model_udf(call)
-    names = _outcome_columns(task)
-    skipped = df.filter(F.col(record).isNull())
+    """The outcome columns of a task by ``_key``, from waves over the rows whose call failed or whose draft was rejected.
+
+    ``df`` is a written table, since every wave reads it again: all of it first, then what is rejected.
+    A wave is one call for each of its rows: a failed call is repeated up to ``max_attempts`` times, a
+    draft with findings is asked for again with them, up to ``grounding_max_corrections`` times.
+    """
+    base = df.filter(F.col(record).isNotNull()).select(_draft_key(task, params, record).alias("_key"), F.col(record).alias("_record"), "text")
+    texts = F.lit(None).cast("array<string>")
     zero = F.lit(0).cast("bigint")
-    pending = df.filter(F.col(record).isNotNull()).withColumns(
-        {"_feedback": F.lit(None).cast("array<string>"), "_spent_in": zero, "_spent_out": zero, "_spent_calls": zero, "_spent_seconds": F.lit(0.0)}
-    )
-    done: list[DataFrame] = []
-    for attempt in range(params.grounding_max_corrections + 1):
-        asking = pending.withColumns(
+    first = {
+        "_turn": F.lit(0), "_try": F.lit(1), "_feedback": texts,
+        "_spent_in": zero, "_spent_out": zero, "_spent_calls": zero, "_spent_seconds": F.lit(0.0),
+    }
+
+    def step(rows: DataFrame) -> DataFrame:
+        asking = rows.withColumns(
             {
                 "_system": F.lit(task.system(params)),
-                "_user": prompts.draft_user(F.col(record), F.col("text"), F.col("_feedback")),
+                "_user": once(prompts.draft_user(F.col("_record"), F.col("text"), F.col("_feedback"))),
             }
         )
-        answered = call_model(asking, ask, task.parse, params, stage)
-        checked = G.check_grounding(
-            answered, task.as_text(F.col("draft")), F.col("text"), task.allowed(params), out="_issues"
-        )
-        failed = F.col("call_error").isNotNull()
-        spent = checked.withColumns(
-            {
-                "_spent_in": F.col("_spent_in") + F.col("call_input_tokens"),
-                "_spent_out": F.col("_spent_out") + F.col("call_output_tokens"),
-                "_spent_calls": F.col("_spent_calls") + F.col("call_attempts"),
-                "_spent_seconds": F.col("_spent_seconds") + F.col("call_seconds"),
-                "_again": ~failed & (F.size("_issues") > 0),
-            }
-        )
-        last = attempt == params.grounding_max_corrections
-        finished = spent if last else spent.filter(~F.col("_again"))
-        # A failed task reports its error and nothing else, whatever earlier drafts cost.
-        done.append(
-            finished.select(
-                *df.columns,
-                F.when(~failed, F.col("draft")).alias(names[0]),
-                F.when(~failed, _grounding_warnings(task, F.col("_issues"))).alias(names[1]),
-                F.col("call_error").alias(names[2]),
-                F.when(failed, zero).otherwise(F.col("_spent_in")).alias(names[3]),
-                F.when(failed, zero).otherwise(F.col("_spent_out")).alias(names[4]),
-                F.when(failed, zero).otherwise(F.col("_spent_calls")).alias(names[5]),
-                F.col("_spent_seconds").alias(names[6]),
-            )
-        )
-        if last:
-            break
-        pending = stage.write(
-            spent.filter("_again")
-            .withColumn("_feedback", F.col("_issues"))
-            .select(*df.columns, "_feedback", "_spent_in", "_spent_out", "_spent_calls", "_spent_seconds")
-        )
-        if pending.isEmpty():
-            break
-    result = done[0]
-    for more in done[1:]:
-        result = result.unionByName(more)
-    return result.unionByName(skipped, allowMissingColumns=True)
+        judged = _judged(asked(asking, call, F.col("_try"), answers, params.calls_in_flight), task.parse)
+        checked = G.check_grounding(judged, task.as_text(F.col("draft")), F.col("text"), task.allowed(params), out="_issues")
+        good = F.col("_error").isNull()
+        redo = good & (F.size("_issues") > 0) & (F.col("_turn") < params.grounding_max_corrections)
+        retry = F.col("_retry") & (F.col("_try") < params.max_attempts)
+
+        def spent(tokens: str) -> Column:
+            return F.when(good, F.col(f"_call.{tokens}")).otherwise(0).cast("bigint")
+
+        return checked.select(
+            "_key", F.when(good, F.col("draft")).alias("draft"), F.when(good, F.col("_issues")).alias("_issues"), "_error",
+            F.when(redo, F.col("_turn") + 1).otherwise(F.col("_turn")).alias("_turn"),
+            F.when(redo, F.lit(1)).otherwise(F.col("_try") + 1).alias("_try"),
+            F.when(redo, F.col("_issues")).otherwise(F.col("_feedback")).alias("_feedback"),
+            (F.col("_spent_in") + spent("input_tokens")).alias("_spent_in"),
+            (F.col("_spent_out") + spent("output_tokens")).alias("_spent_out"),
+            (F.col("_spent_calls") + 1).alias("_spent_calls"),
+            (F.col("_spent_seconds") + F.col("_call.seconds")).alias("_spent_seconds"),
+            (redo | retry).alias("_more"),
+        )
+
+    most = (params.grounding_max_corrections + 1) * params.max_attempts
+    last = _waves(base, first, step, most, stage)
+    names = _outcome_columns(task)
+    failed = F.col("_error").isNotNull()
+    # A failed task reports its error and nothing else, whatever earlier drafts cost.
+    return last.select(
+        F.col("_key").alias(f"_{task.name}_key"),
+        F.col("draft").alias(names[0]),
+        F.when(~failed, _grounding_warnings(task, F.col("_issues"))).alias(names[1]),
+        F.col("_error").alias(names[2]),
+        F.when(failed, zero).otherwise(F.col("_spent_in")).alias(names[3]),
+        F.when(failed, zero).otherwise(F.col("_spent_out")).alias(names[4]),
+        F.when(failed, zero).otherwise(F.col("_spent_calls")).alias(names[5]),
+        F.col("_spent_seconds").alias(names[6]),
+    )
+
+
+def with_outcomes(df: DataFrame, outcomes: dict[Task, DataFrame], params: Params, record: str = "extraction") -> DataFrame:
+    """``df`` with the outcome columns of the tasks; rows without a record have none.
+
+    Columns that no later step reads, texts above all, are not moved by the joins.
+    """
+    ready = df.filter(F.col(record).isNotNull())
+    ready = ready.withColumns({f"_{task.name}_key": _draft_key(task, params, record) for task in outcomes})
+    for task, rows in outcomes.items():
+        ready = ready.join(rows, f"_{task.name}_key").drop(f"_{task.name}_key")
+    return ready.unionByName(df.filter(F.col(record).isNull()), allowMissingColumns=True)
+
+
+def draft_with_model(
+    df: DataFrame, task: Task, call: Model, params: Params, stage: Stage, record: str = "extraction", answers: Answers | None = None
+) -> DataFrame:
+    """Grounded drafting with a model: ``df`` and the outcome columns of one task."""
+    df = stage.write(df)
+    return with_outcomes(df, {task: draft_outcomes(df, task, call, params, stage, record, answers)}, params, record)

@@ -16,6 +16,8 @@ class Params:
     max_document_chars: int | None = None
     grounding_max_corrections: int = 1
     max_attempts: int = 3
+    #: Model calls of one task under way at a time; a model must allow as many threads.
+    calls_in_flight: int = 4
     company_name: str = "Example Customer Care"
     email_signature: str = "Customer Care Team, Example"
 
@@ -26,6 +28,8 @@ class Params:
             raise ParamError("grounding_max_corrections must not be negative")
         if self.max_attempts < 1:
             raise ParamError("max_attempts must be at least 1")
+        if self.calls_in_flight < 1:
+            raise ParamError("calls_in_flight must be at least 1")
         if self.max_file_size_mb is not None and self.max_file_size_mb <= 0:
             raise ParamError("max_file_size_mb must be positive")
 

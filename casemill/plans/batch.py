@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Callable
 from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
@@ -13,19 +12,21 @@ from pyspark.sql import functions as F
 
 from casemill.functions import classify, prompts
 from casemill.operators import assemble, drafting, grounding, report, verify
+from casemill.operators.asking import Answers, Model
 from casemill.params import Params, RunMeta
 from casemill.session import Stage
 from casemill.sources import manifest as M
 from casemill.sources import readers, sinks
 
-Model = Callable[[str, str], dict]
 RESULTS_DIR = "results"
 
 
-def extract(documents: DataFrame, params: Params, model: Model | None = None, stage: Stage | None = None) -> DataFrame:
+def extract(
+    documents: DataFrame, params: Params, model: Model | None = None, stage: Stage | None = None, answers: Answers | None = None
+) -> DataFrame:
     """Add the record of every document with text, by rules or by a model."""
     if model is not None:
-        return drafting.extract_with_model(documents, model, params, stage)
+        return drafting.extract_with_model(documents, model, params, stage, answers)
     ruled = classify.extract_record(documents)
     ready = F.col("text").isNotNull()
     spent = prompts.estimate_tokens(
@@ -50,20 +51,24 @@ def process(
     extraction_model: Model | None = None,
     generation_model: Model | None = None,
     stage: Stage | None = None,
+    answers: Answers | None = None,
 ) -> DataFrame:
     """Result rows for prepared documents (doc_id, file_name, file_type, text, truncated, load_error).
 
-    Without models every step is a column expression on the row: the plan has no shuffle.
+    Without models every step is a column expression on the row: the plan has no shuffle. With a
+    model, ``answers`` keeps what it said, so that a run started again asks only what is open.
     """
-    rows = extract(documents, params, extraction_model, stage)
+    rows = extract(documents, params, extraction_model, stage, answers)
     if generation_model is None:  # the tables between the waves of a model need not hold the views
         rows = grounding.source_views(rows, F.col("text"))
     rows = verify.verify_record(rows)
-    for task in drafting.TASKS:
-        if generation_model is None:
+    if generation_model is None:
+        for task in drafting.TASKS:
             rows = drafting.draft_with_templates(rows, task, params)
-        else:
-            rows = drafting.draft_with_model(rows, task, generation_model, params, stage)
+    else:
+        rows = stage.write(rows)  # once; the tables of the waves hold no texts
+        outcomes = {task: drafting.draft_outcomes(rows, task, generation_model, params, stage, answers=answers) for task in drafting.TASKS}
+        rows = drafting.with_outcomes(rows, outcomes, params)
     return assemble.results(rows, params.max_document_chars)
 
 
@@ -129,18 +134,22 @@ def run(
     params: Params | None = None,
     clean: bool = True,
     meta: RunMeta | None = None,
+    answers_dir: str | None = None,
     **options,
 ) -> Run:
     """Process a folder and write every output.
 
     The result rows are written once, as an output of their own, and every other output is
     derived from them, so no document is processed, and no model asked, a second time.
-    Tables written between the steps of a model are deleted when the run ends.
+    Tables written between the steps of a model are deleted when the run ends; answers in
+    ``answers_dir`` stay, and a run with the same folder does not ask for them again.
     """
     started = time.perf_counter()
     meta = meta or new_run()
     stage = Stage(spark)
     model_stage = {"stage": stage} if {"extraction_model", "generation_model"} & options.keys() else {}
+    if answers_dir is not None:
+        model_stage["answers"] = Answers(spark, answers_dir)
     path = f"{out_dir}/{RESULTS_DIR}/run_id={meta.run_id}"
     try:
         rows, seen = report.counted(process_folder(spark, folder, params, **options, **model_stage))

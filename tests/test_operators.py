@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from casemill import fixed_values as V
+from casemill.operators.asking import Answers
 from casemill.operators import drafting, grounding, quality, score, validate, verify
 from casemill.operators.keys import attach_group_size
 from casemill.params import ParamError, Params
@@ -129,6 +130,89 @@ def test_failed_second_draft_reports_only_its_error(spark):
     assert row.customer_email_warnings is None and row.customer_email_calls == 0 and row.customer_email_input_tokens == 0
 
 
+def logger():
+    """A function that tasks can carry with them."""
+
+    def log(folder, name):
+        import uuid
+
+        open(f"{folder}/{name}-{uuid.uuid4().hex}", "w").close()
+
+    return log
+
+
+def test_a_run_started_again_asks_only_what_is_open(spark, tmp_path):
+    import os
+
+    _log, log, kept = logger(), tmp_path / "log", str(tmp_path / "answers")
+    log.mkdir()
+
+    def model(system, user):
+        if user == "p3" and not any(f.startswith("lost") for f in os.listdir(log)):
+            _log(log, "lost")
+            os._exit(1)  # the worker goes as with its executor
+        _log(log, user)
+        if user == "p1" and sum(f.startswith("p1-") for f in os.listdir(log)) == 1:
+            raise ConnectionError("blip")
+        return {"raw": json.dumps({f: user for f in V.SUMMARY_FIELDS}), "input_tokens": 3, "output_tokens": 4}
+
+    df = spark.createDataFrame([("s", f"p{k}") for k in range(6)], "_system string, _user string").coalesce(1)
+
+    def run():
+        answers = Answers(spark, kept, file_answers=1)
+        return drafting.call_model(df, model, validate.parse_summary, Params(calls_in_flight=1), Stage(spark), answers).collect()
+
+    with pytest.raises(Exception, match="worker exited"):
+        run()
+    assert sorted(f.split("-")[0] for f in os.listdir(log)) == ["lost", "p0", "p1", "p2"]
+    rows = {r._user: r for r in run()}
+    assert {u: r.call_attempts for u, r in rows.items()} == {"p0": 1, "p1": 2, "p2": 1, "p3": 1, "p4": 1, "p5": 1}
+    assert all(r.call_error is None and r.draft.key_issue == u for u, r in rows.items())
+    want = ["lost", "p0", "p1", "p1", "p2", "p3", "p4", "p5"]
+    assert sorted(f.split("-")[0] for f in os.listdir(log)) == want
+    run()
+    assert sorted(f.split("-")[0] for f in os.listdir(log)) == want
+
+
+def test_calls_of_a_task_overlap_within_the_window(spark, tmp_path):
+    import os
+
+    _log, log = logger(), tmp_path / "log"
+    log.mkdir()
+
+    def model(system, user):
+        import time
+
+        open(f"{log}/{user}", "w").close()
+        time.sleep(0.3)
+        _log(log, f"with{len([f for f in os.listdir(log) if not f.startswith('with')])}")
+        os.remove(f"{log}/{user}")
+        return {"raw": json.dumps({f: user for f in V.SUMMARY_FIELDS})}
+
+    df = spark.createDataFrame([("s", f"p{k}") for k in range(9)], "_system string, _user string").coalesce(1)
+    rows = drafting.call_model(df, model, validate.parse_summary, Params(calls_in_flight=3), Stage(spark)).collect()
+    assert all(r.draft.key_issue == r._user for r in rows)
+    seen = [int(f.split("-")[0][4:]) for f in os.listdir(log)]
+    assert len(seen) == 9 and max(seen) == 3
+
+
+def test_waves_write_no_texts_and_only_rejected_rows_again(spark):
+    body = BODY
+
+    def model(system, user):
+        invented = "" if "grounding check" in user or "doc1" in user else " We return $999.00."
+        return {"raw": json.dumps({"subject": "s", "body": body + invented}), "input_tokens": 10, "output_tokens": 2}
+
+    stage = Stage(spark)
+    rows = cases(spark, 6).withColumn("text", F.concat(F.lit(SOURCE), F.lit(" doc"), F.col("i").cast("string")))
+    done = drafting.draft_with_model(rows, drafting.EMAIL_TASK, model, Params(), stage).collect()
+    assert {(r.i, r.customer_email_calls) for r in done} == {(i, 1 if i == 1 else 2) for i in range(6)}
+    first, second = (spark.read.parquet(f"{stage.root}/{n:04d}") for n in (2, 3))
+    assert (first.count(), second.count()) == (6, 5)
+    assert not {"text", "_record", "_user"} & set(first.columns) and SOURCE[:20] not in str(first.collect())
+    stage.release()
+
+
 def test_retry_waves(spark, tmp_path):
     """Transient failures are repeated, refused keys are not, bad output is."""
     log = str(tmp_path)
@@ -155,7 +239,7 @@ def test_retry_waves(spark, tmp_path):
 
     # One row per task, so that the waves can be counted.
     df = spark.createDataFrame([("s", u) for u in ("ok", "flaky", "bad", "refused")], "_system string, _user string")
-    out = drafting.call_model(df, drafting.model_udf(model), validate.parse_summary, Params(max_attempts=3), Stage(spark))
+    out = drafting.call_model(df, model, validate.parse_summary, Params(max_attempts=3), Stage(spark))
     rows = {r._user: r for r in out.collect()}
     assert {u: r.call_attempts for u, r in rows.items()} == {"ok": 1, "flaky": 3, "bad": 3, "refused": 1}
     assert rows["refused"].call_error.startswith("RefusedKey") and rows["bad"].call_error.startswith("InvalidOutput")
