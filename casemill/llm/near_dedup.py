@@ -12,11 +12,16 @@ symbols left out; two classes within the distance share at least one such key.
 
 Pairs within the distance pass a second, longer signature of ``MORE`` symbols of few bits, whose
 threshold again spares all but one in 10^5 of the pairs at 0.85, and are confirmed on the full sets.
-Of a key, all classes are first compared with one centre only, the one that shares most keys with
-others, as an original does with its edited copies. What is connected by confirmed links needs no
-further comparison, since only components are asked for; the other pairs of a key, those between
-classes that are still in different components, are compared in a second pass, each pair at the first
-key it shares. No link between components is lost.
+No step makes a row for every pair of a group of near copies:
+
+* of a key, all classes are compared with one centre only, the one that shares most keys with others,
+  as an original does with its edited copies. What is connected needs no further comparison, since only
+  components are asked for;
+* classes close to one centre are kept as their differences from it, a small part of their sets. Those
+  that the centre does not link are compared with all others of that centre, exactly and block by
+  block, since |A and B| follows from the differences; a block returns spanning links only;
+* what is left are pairs of a key that are close to no common centre and still in different components.
+  They are joined as above, each pair at the first key it shares. No link between components is lost.
 """
 
 from __future__ import annotations
@@ -42,6 +47,11 @@ MAX_DISTANCE = CHUNKS * 2 - 1
 #: The longer signature: symbols, their bits, symbols in a long, and the most that may differ in both.
 MORE, MORE_BITS, MORE_LANES = 192, 4, 15
 ALL_DISTANCE = 61
+#: A class is close to a centre when so many symbols of both signatures differ at most, and sizes differ by so much.
+#: This says only which way pairs are compared in.
+CLOSE_DISTANCE, CLOSE_PERCENT = 84, 70
+#: Classes in a block of a centre's classes, and differing shingles in a block of columns.
+BLOCK, COLUMNS = 512, 4096
 #: A link: 100 * common >= PERCENT * together.
 PERCENT = 85
 
@@ -144,9 +154,21 @@ def _may_link(a: str, b: str):
 
     ``a`` and ``b`` are the prefixes of the columns n, x (signature) and y (more) of either side.
     """
+    lanes = _lanes(SYMBOLS, BITS, LANES, f"{a}x", f"{b}x")
+    near, far = sum(lanes, F.lit(0)), _distance(a, b)
+    # Most pairs of unlike texts exceed the distance in the first half of the symbols.
+    first = sum(lanes[: len(lanes) // 2], F.lit(0)) <= MAX_DISTANCE
+    return _sizes_allow(a, b, PERCENT) & first & (near <= MAX_DISTANCE) & (far <= ALL_DISTANCE)
+
+
+def _distance(a: str, b: str):
+    """Symbols of both signatures that differ."""
     near = sum(_lanes(SYMBOLS, BITS, LANES, f"{a}x", f"{b}x"), F.lit(0))
-    far = sum(_lanes(MORE, MORE_BITS, MORE_LANES, f"{a}y", f"{b}y"), near)
-    return (100 * F.least(f"{a}n", f"{b}n") >= PERCENT * F.greatest(f"{a}n", f"{b}n")) & (near <= MAX_DISTANCE) & (far <= ALL_DISTANCE)
+    return sum(_lanes(MORE, MORE_BITS, MORE_LANES, f"{a}y", f"{b}y"), near)
+
+
+def _sizes_allow(a: str, b: str, percent: int):
+    return 100 * F.least(f"{a}n", f"{b}n") >= percent * F.greatest(f"{a}n", f"{b}n")
 
 
 def _first_shared(a: str, b: str):
@@ -160,13 +182,93 @@ def _first_shared(a: str, b: str):
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each pair whether it is linked, the size of ``b``, and how ``a`` differs from ``b``.
+
+    The difference lists the shingles that ``a`` lacks, so many as ``lacks`` says, then those it adds.
+    """
     for batch in batches:
-        keep = []
+        linked, sizes, lacks, diffs = [], [], [], []
         for a, b in zip(batch.column("set_a"), batch.column("set_b"), strict=True):
             a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-            common = len(np.intersect1d(a, b, assume_unique=True))
-            keep.append(100 * common >= PERCENT * (len(a) + len(b) - common))
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            gone, more = np.setdiff1d(b, a, assume_unique=True), np.setdiff1d(a, b, assume_unique=True)
+            common = len(b) - len(gone)
+            linked.append(100 * common >= PERCENT * (len(a) + len(b) - common))
+            sizes.append(len(b))
+            lacks.append(len(gone))
+            diffs.append(np.concatenate([gone, more]).tobytes())
+        columns = [batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_()), pa.array(sizes, pa.int64())]
+        columns += [pa.array(lacks, pa.int64()), pa.array(diffs, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["a", "b", "linked", "size", "lacks", "diff"])
+
+
+def _common_differences(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many values each of ``left`` shares with each of ``right``; the values of one array are distinct."""
+    values = np.concatenate([*left, *right])
+    which, place = np.unique(values, return_inverse=True)
+    # A value that only one array has is shared with none.
+    often = np.bincount(place, minlength=len(which)) > 1
+    place = np.where(often[place], (np.cumsum(often) - 1)[place], -1)
+    owner = np.repeat(np.arange(len(left) + len(right)), [len(x) for x in (*left, *right)])
+    out = np.zeros((len(left), len(right)), np.int64)
+    for start in range(0, int(often.sum()), COLUMNS):
+        here = (place >= start) & (place < start + COLUMNS)
+        marks = np.zeros((len(left) + len(right), COLUMNS), np.float32)
+        marks[owner[here], place[here] - start] = 1
+        # Counts of at most COLUMNS are exact in this type.
+        out += (marks[: len(left)] @ marks[len(left) :].T).astype(np.int64)
+    return out
+
+
+def _span(key: tuple, table: pa.Table) -> pa.Table:
+    """Links that connect the components of one cell: its open classes against a block of all, by their differences."""
+    rows = table.to_pylist()
+    left, right = ([r for r in rows if r["open"] is side] for side in (True, False))
+    links: list[tuple[int, int]] = []
+    if left and right:
+        diffs = [[np.frombuffer(r["diff"], np.uint64) for r in side] for side in (left, right)]
+        lacks = [np.array([r["lacks"] for r in side]) for side in (left, right)]
+        size = rows[0]["size"]
+        n = [size - 2 * k + np.array([len(d) for d in ds]) for k, ds in zip(lacks, diffs, strict=True)]
+        common = size - lacks[0][:, None] - lacks[1] + _common_differences(*diffs)
+        tops: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while x in tops:
+                x = tops[x]
+            return x
+
+        for i, j in np.argwhere(100 * common >= PERCENT * (n[0][:, None] + n[1] - common)).tolist():
+            one, other = top(left[i]["component"]), top(right[j]["component"])
+            if one != other:
+                tops[one] = other
+                links.append((left[i]["a"], right[j]["a"]))
+    return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+
+def links_near_centres(near: DataFrame, found: DataFrame, written) -> DataFrame:
+    """``a, b``: links between classes close to one centre and in different components, enough to connect them.
+
+    ``near`` is from ``compared`` (``b`` is the centre), ``found`` has the components so far. Open classes of a
+    centre, those not in its own component, are cut into blocks, and so are all its classes; a cell is
+    a block of each. A class goes to as many cells as there are blocks on the other side.
+    """
+    of = found.select(F.col("cid").alias("a"), "component")
+    placed = near.join(of, "a", "left").withColumn("component", F.coalesce("component", "a"))
+    centre = found.select(F.col("cid").alias("b"), F.col("component").alias("own"))
+    placed = placed.join(centre, "b", "left").withColumn("own", F.coalesce("own", "b"))
+    placed = written.write(placed.withColumn("open", F.col("component") != F.col("own")).drop("own"))
+    counts = placed.groupBy("b").agg(F.count_if("open").alias("n_open"), F.count(F.lit(1)).alias("n_all"))
+    blocks = written.write(
+        counts.filter("n_open > 0 and n_all > 1").select("b", *[F.ceil(F.col(n) / BLOCK).alias(n) for n in ("n_open", "n_all")])
+    )
+    rows = placed.join(blocks, "b")
+    mixed = F.abs(F.xxhash64("a"))
+    own_open, own_all = (mixed % F.col("n_open")).alias("row"), (mixed % F.col("n_all")).alias("column")
+    columns = ["b", "a", "component", "size", "lacks", "diff"]
+    left = rows.filter("open").select(*columns, F.lit(True).alias("open"), own_open, F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_all") - 1)).alias("column"))
+    right = rows.select(*columns, F.lit(False).alias("open"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_open") - 1)).alias("row"), own_all)
+    cells = left.unionByName(right).groupBy("b", "row", "column")
+    return written.write(cells.applyInArrow(_span, "a long, b long"))
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,8 +279,8 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows.filter(pa.array(same, pa.bool_()))
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, written) -> DataFrame:
-    """Of ``pairs`` (a, b: class ids), written, those whose full sets are similar enough.
+def compared(pairs: DataFrame, docs: DataFrame, classes: DataFrame, written) -> DataFrame:
+    """``a, b, linked, size, lacks, diff`` of ``pairs`` (a, b: class ids), written, from their full sets.
 
     Only the texts of one document of each class in ``pairs`` are read again and moved. A pair brings
     the set of ``a`` to that of ``b``; a class in many pairs is split over tasks by the join.
@@ -192,7 +294,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, written) ->
     left = sets.select(F.col("cid").alias("a"), F.col("members").alias("set_a"))
     right = sets.select(F.col("cid").alias("b"), F.col("members").alias("set_b"))
     both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b")
-    return written.write(both.mapInArrow(trimmed(_compare), "a long, b long"))
+    return written.write(both.mapInArrow(trimmed(_compare), "a long, b long, linked boolean, size long, lacks long, diff binary"))
 
 
 def components(links: DataFrame, written) -> DataFrame:
@@ -234,23 +336,38 @@ def class_components(docs: DataFrame, rows: DataFrame, written) -> DataFrame:
     # At most one partner for each key of a class, so the lists are short.
     partners = members.filter("cid != centre").groupBy("cid").agg(F.collect_set("centre").alias("centres"))
     stars = side("a").join(partners, F.col("a") == F.col("cid")).select("a", "an", "ax", "ay", F.explode("centres").alias("centre"))
-    stars = stars.join(side("b"), (F.col("centre") == F.col("b")) & _may_link("a", "b")).select("a", "b")
-    links = confirmed(written.write(stars), docs, classes, written)
-    if links.isEmpty():
-        found = links.select(F.col("a").alias("cid"), F.col("b").alias("component"))
-    else:
-        found = components(links, written)
-
-    # Second pass: keys whose classes are still in different components. Pairs with the centre of a key are done.
+    close = _sizes_allow("a", "b", CLOSE_PERCENT) & (_distance("a", "b") <= CLOSE_DISTANCE)
+    stars = stars.join(side("b"), (F.col("centre") == F.col("b")) & close).select("a", "b")
+    near = compared(written.write(stars), docs, classes, written)
+    links = near.filter("linked").select("a", "b")
+
+    def connected(links: DataFrame) -> DataFrame:
+        if links.isEmpty():
+            return links.select(F.col("a").alias("cid"), F.col("b").alias("component"))
+        return components(links, written)
+
+    found = connected(links)
+    inner = links_near_centres(near, found, written)
+    if not inner.isEmpty():
+        links = links.union(inner)
+        found = connected(links)
+
+    # Keys whose classes are still in different components, without pairs that were compared at a centre.
     own_component = F.coalesce("component", "cid").alias("component")
     placed = written.write(members.join(found, "cid", "left").select("key", "cid", "at", "centre", own_component))
     mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
     mixed = placed.filter("cid != centre").join(written.write(mixed.select("key")), "key", "left_semi")
-    own = written.write(mixed.join(side("a"), F.col("cid") == F.col("a")).select("key", "at", "a", "an", "ax", "ay", F.col("component").alias("ac")))
-    other = own.select(F.col("key").alias("key_b"), *[F.col(f"a{c}").alias(f"b{c}") for c in ("", "n", "x", "y", "c")])
+    # Each class with the centres it is close to, one for each of its keys at most, and itself.
+    close_to = near.groupBy(F.col("a").alias("close")).agg(F.collect_set("b").alias("centres"))
+    a_side = side("a").join(close_to, F.col("a") == F.col("close"), "left")
+    a_side = a_side.withColumn("ac_to", F.array_append(F.coalesce("centres", F.array().cast("array<long>")), F.col("a")))
+    own = mixed.join(a_side, F.col("cid") == F.col("a"))
+    own = written.write(own.select("key", "at", "a", "an", "ax", "ay", F.col("component").alias("ac"), "ac_to"))
+    other = own.select(F.col("key").alias("key_b"), *[F.col(f"a{c}").alias(f"b{c}") for c in ("", "n", "x", "y", "c", "c_to")])
     apart = (F.col("key") == F.col("key_b")) & (F.col("a") > F.col("b")) & (F.col("ac") != F.col("bc"))
-    pairs = own.join(other, apart & _may_link("a", "b") & _first_shared("a", "b")).select("a", "b")
-    more = confirmed(written.write(pairs), docs, classes, written)
+    once_only = _may_link("a", "b") & ~F.arrays_overlap("ac_to", "bc_to") & _first_shared("a", "b")
+    pairs = own.join(other, apart & once_only).select("a", "b")
+    more = compared(written.write(pairs), docs, classes, written).filter("linked").select("a", "b")
     if more.isEmpty():
         return found
     return components(links.union(more), written)

@@ -461,3 +461,31 @@ def test_repeated_ids_in_training(spark, monkeypatch):
     toxicity.model_of(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(marks, "doc_id long, quality int, toxic int"))
     want = [i for i in range(300) if zlib.crc32(str(i).encode()) % 3 != 1]
     assert 0 in want and sorted(r.doc_id for r in seen[0]) == want
+
+
+@pytest.mark.parametrize("edits", [2, 3])
+def test_large_groups_of_edited_copies(spark, monkeypatch, edits):
+    """Copies of one text, each with random edits: many pairs just under and just over the similarity."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    rnd = random.Random(edits)
+    base = [f"w{k}" for k in range(260)]
+    found = []
+    for k in range(110):
+        words = list(base)
+        for place in rnd.sample(range(260), edits + k % 3):
+            words[place] = f"x{rnd.randrange(40)}"
+        found.append((k, " ".join(words)))
+    sets = [shingles(t) for _, t in found]
+    root = list(range(len(sets)))
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(sets)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                root[max(top(a), top(b))] = min(top(a), top(b))
+    got = {r.doc_id: r.component_id for r in near_dedup.near_groups(spark.createDataFrame(found, "doc_id long, text string")).collect()}
+    assert got == {k: top(k) for k in range(len(sets))}
