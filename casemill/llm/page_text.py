@@ -14,7 +14,11 @@ teasers in a sidebar can be articles too). Inside, headings are never off by suc
 comments and adverts, since their ids and names come from what they are about.
 
 Elsewhere the threshold is ``SURGE``, and link text does not count; a line that is wholly links stays if it stands between
-a surge and the dive.
+a surge and the dive, and unlinked lines right before a surge, such as a title and a short opening paragraph, belong to it
+if they stand in the same container. An element that is off by a word only and holds more than half of the page's text is
+not off.
+
+Only block elements begin and end lines; raw, unknown and inline elements inside a paragraph leave it whole.
 """
 
 from __future__ import annotations
@@ -22,6 +26,8 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -34,14 +40,17 @@ from casemill.llm.common import stage
 WINDOW, SURGE = 3, 80
 
 # Element names of HTML, and words that name parts of a page.
-RAW = frozenset("script style noscript template textarea title svg math iframe object canvas select option button datalist".split())
+RAW = frozenset("script style noscript template textarea title svg iframe object canvas select option button datalist".split())
 OFF = frozenset("nav footer aside form dialog menu fieldset label head".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HEADINGS = frozenset(("h1", "h2", "h3"))
-INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd mark q s samp small span strike strong sub sup "
-    "time tt u var wbr".split()
+BLOCK = frozenset(
+    "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset "
+    "h1 h2 h3 h4 h5 h6 head header hgroup hr html label legend li main menu nav ol p pre search section summary table tbody td tfoot th "
+    "thead tr ul".split()
 )
+#: Blocks of text; the container of a line is the innermost other block round it.
+TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote hgroup".split())
 OFF_WORDS = frozenset(
     "nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead footer sidebar aside widget notice cookie cookies consent "
     "banner gdpr ad ads advert adverts advertisement promo promotion sponsor sponsored newsletter subscribe signup login form search share "
@@ -52,7 +61,7 @@ ARTICLE_OFF = frozenset("comment comments reply replies related promo sponsored
 OUTSIDE_ONLY = frozenset("header masthead banner".split())
 ALL_HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 #: Raw elements that a slash in the start tag ends.
-FOREIGN = frozenset(("svg", "math"))
+FOREIGN = frozenset(("svg",))
 OFF_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
 _TOKEN = re.compile(
@@ -103,35 +112,79 @@ def _off(name: str, attributes: str, inside: bool, is_main: bool) -> int:
     return off
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool, bool, bool]]:
-    """Lines of a page as (text, length that counts, inside the marked article, a heading, off)."""
-    lines: list[tuple] = []  # the same, but off twice: with the elements round the article, and without
+@dataclass
+class Line:
+    text: str
+    #: Characters that count: none if the line is off, and none in links outside a marked article.
+    length: int
+    inside: bool
+    title: bool
+    off: bool
+    #: Number of the container, and whether no part of the line is a link.
+    box: int
+    plain: bool
+
+
+@dataclass
+class _Open:
+    """An open element, and what held before it."""
+
+    name: str
+    how: int
+    marks: bool
+    spared: int
+    spared_main: int
+    box: int
+    block: int
+
+
+def lines_of(page: str) -> list[Line]:
+    """Lines of a page; time is linear in its length, however deep elements are nested."""
+    lines: list[Line] = []
+    strict: list[bool] = []  # off with the elements round the article
+    lenient: list[bool] = []  # off without them
+    always: list[bool] = []  # off other than by words
+    sizes: list[int] = []  # characters of all lines, counted or not
     held: list[str] = []
     links = 0  # characters of link text in the held line
-    open_: list[tuple[str, int, bool, int, int]] = []  # name, how it is off, marks the article, spared and spared_main before
-    off = off_round = marked = in_link = 0
+    open_: list[_Open] = []
+    places: dict[str, list[int]] = {}  # where in ``open_`` the elements of a name are
+    off = off_round = marked = in_link = titles = 0
     spared = spared_main = 0  # of ``off_round``, those that stand round the article; those round a main element
+    box, block = 0, -1  # the container; the place of the innermost block
+    boxes = 0
+    words_off: list[tuple[int, int]] = []  # first line and the one after the last of elements that are off by a word
+    begun: list[int] = []
 
     def end_line() -> None:
         nonlocal links
         text = _SPACE.sub(" ", html.unescape("".join(held))).strip()
         if text:
-            title = any(name in HEADINGS for name, *_ in open_)
             length = max(0, len(text) if marked else len(text) - links)
-            lines.append((text, length, bool(marked), title, off + off_round > spared_main, off + off_round > spared))
+            lines.append(Line(text, length, bool(marked), titles > 0, False, box, not links))
+            strict.append(off + off_round > spared_main)
+            lenient.append(off + off_round > spared)
+            always.append(off > 0)
+            sizes.append(len(text))
         held.clear()
         links = 0
 
     def close(k: int) -> None:
-        nonlocal off, off_round, marked, in_link, spared, spared_main
-        for name, was_off, was_marked, spared, spared_main in reversed(open_[k:]):  # noqa: B020
-            off -= was_off == OFF_ALWAYS
-            off_round -= was_off == OFF_ROUND
-            marked -= was_marked
-            in_link -= name == "a"
-        del open_[k:]
+        nonlocal off, off_round, marked, in_link, spared, spared_main, box, block, titles
+        while len(open_) > k:
+            e = open_.pop()
+            places[e.name].pop()
+            off -= e.how == OFF_ALWAYS
+            if e.how == OFF_ROUND:
+                off_round -= 1
+                words_off.append((begun.pop(), len(lines)))
+            marked -= e.marks
+            in_link -= e.name == "a"
+            titles -= e.name in HEADINGS
+            spared, spared_main, box, block = e.spared, e.spared_main, e.box, e.block
 
     at, size = 0, len(page)
+    raw_ends: dict[str, re.Pattern] = {}
     while at < size:
         token = _TOKEN.search(page, at)
         text = page[at : token.start() if token else size]
@@ -144,59 +197,77 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool, bool]]:
         name = (token.group(2) or "").lower()
         if not name:
             continue
-        if name not in INLINE:
+        if name in BLOCK:
             end_line()
         elif name == "br":
             held.append(" ")
         if token.group(1):
-            for k in range(len(open_) - 1, -1, -1):
-                if open_[k][0] == name:
-                    close(k)
-                    break
+            if places.get(name):
+                close(places[name][-1])
             continue
-        if name in RAW and not (name in FOREIGN and token.group(3).endswith("/")):
-            ends = re.compile(rf"</{re.escape(name)}[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
+        ended = token.group(3).endswith("/")
+        if name in RAW and not (name in FOREIGN and ended):
+            ends = raw_ends.setdefault(name, re.compile(rf"</{re.escape(name)}[^>]*(?:>|\Z)", re.IGNORECASE)).search(page, at)
             at = ends.end() if ends else size
             continue
-        if name in VOID or token.group(3).endswith("/") and name not in INLINE and name not in ("p", "div"):
+        if name in VOID or ended and name not in ("p", "div", "a"):
             continue
-        if name in ("p", "li", "tr", "td", "th", "dt", "dd", "option"):
-            # These end an open one of their own kind that has no end tag.
-            for k in range(len(open_) - 1, -1, -1):
-                if open_[k][0] == name:
-                    close(k)
-                    break
-                if open_[k][0] not in INLINE:
-                    break
+        if name in ("p", "li", "tr", "td", "th", "dt", "dd") and block >= 0 and open_[block].name == name:
+            close(block)  # ended by the next of its kind
         marks = name in ("article", "main") or "main" in re.findall(r"""role\s*=\s*["']?(\w+)""", token.group(3))
         is_main = marks and name != "article"
         how = _off(name, token.group(3), bool(marked), is_main)
-        open_.append((name, how, marks, spared, spared_main))
+        places.setdefault(name, []).append(len(open_))
+        open_.append(_Open(name, how, marks, spared, spared_main, box, block))
+        if name in BLOCK:
+            block = len(open_) - 1
+            if name not in TEXT_BLOCKS:
+                boxes += 1
+                box = boxes
         if is_main:
             spared = spared_main = off_round
         elif marks and not marked:
             spared = off_round
         off += how == OFF_ALWAYS
-        off_round += how == OFF_ROUND
+        if how == OFF_ROUND:
+            off_round += 1
+            begun.append(len(lines))
         marked += marks
         in_link += name == "a"
+        titles += name in HEADINGS
     end_line()
-    some = any(inside and n and not strict for _, n, inside, _, strict, _ in lines)
-    found = []
-    for text, n, inside, title, strict, lenient in lines:
-        is_off = strict if some else lenient
-        found.append((text, 0 if is_off else n, inside, title, is_off))
-    return found
+    close(0)
+    if any(line.inside and line.length and not s for line, s in zip(lines, strict, strict=True)):
+        found = strict
+    elif any(line.inside and line.length for line in lines):
+        found = lenient
+    else:
+        found = _off_by_parts(always, words_off, sizes)
+    for line, is_off in zip(lines, found, strict=True):
+        line.off = is_off
+        line.length = 0 if is_off else line.length
+    return lines
 
 
-def main_lines(lines: list[tuple[str, int, bool, bool, bool]], window: int = WINDOW, surge: int = SURGE) -> list[str]:
+def _off_by_parts(always: list[bool], words_off: list[tuple[int, int]], sizes: list[int]) -> list[bool]:
+    """Which lines are off on a page without marks: those of elements off by a word, but for elements with most of the text."""
+    upto = [0, *accumulate(0 if o else s for o, s in zip(always, sizes, strict=True))]
+    change = [0] * (len(sizes) + 1)
+    for first, stop in words_off:
+        if 2 * (upto[stop] - upto[first]) <= upto[-1]:
+            change[first] += 1
+            change[stop] -= 1
+    return [o or n > 0 for o, n in zip(always, accumulate(change), strict=False)]
+
+
+def main_lines(lines: list[Line], window: int = WINDOW, surge: int = SURGE) -> list[str]:
     """The lines between a surge and the dive after it.
 
     A surge begins at a line of at least half its window's mean, so that a short line before the text
-    is left out; headings that stand right before it belong to it.
+    is left out; headings that stand right before it belong to it, and so do unlinked lines of its container.
     """
-    marked = any(inside and n for _, n, inside, _, _ in lines)
-    length = np.array([n if inside or not marked else 0 for _, n, inside, _, _ in lines], dtype=np.int64)
+    marked = any(line.inside and line.length for line in lines)
+    length = np.array([line.length if line.inside or not marked else 0 for line in lines], dtype=np.int64)
     if not length.any():
         return []
     sums = np.convolve(length, np.ones(window, dtype=np.int64))[window - 1 :]  # of the window that begins at a line
@@ -207,13 +278,16 @@ def main_lines(lines: list[tuple[str, int, bool, bool, bool]], window: int = WIN
         if not within and length[k] and sums[k] >= least and (marked or 2 * window * length[k] >= sums[k]):
             within = True
             before = k - 1
-            while before >= 0 and length[before] and lines[before][3] and not kept[before]:
+            while before >= 0 and length[before] and not kept[before]:
+                line = lines[before]
+                if not (line.title or not marked and line.plain and line.box == lines[k].box):
+                    break
                 kept[before] = True
                 before -= 1
         elif within and not sums[k]:
             within = False
-        kept[k] |= within and (length[k] > 0 or not marked and not lines[k][4])
-    return [line[0] for line, keep in zip(lines, kept, strict=True) if keep]
+        kept[k] |= within and (length[k] > 0 or not marked and not lines[k].off)
+    return [line.text for line, keep in zip(lines, kept, strict=True) if keep]
 
 
 def main_text(page: str | None) -> str:

@@ -1,9 +1,10 @@
 """Secret scan over a trigram inverted index, in DataFrame functions only.
 
-Each rule's fixed words give a Boolean query over trigrams: a text can match only if, for one of the
-alternatives, it holds every trigram of that alternative. The index has postings (trigram, document)
-for the trigrams that some rule asks for. Postings are intersected to candidates, and only
-candidates meet the regular expression. A rule with no mandatory trigram is run on every text.
+From each rule's regular expression a Boolean query over trigrams is derived (``regex_trigrams``): a
+text can match only if, for one of the query's alternatives, it holds every trigram of that
+alternative. The index has postings (trigram, document) for the trigrams that some rule asks for.
+Postings are intersected to candidates, and only candidates meet the regular expression. A rule with
+no mandatory trigram is run on every text.
 
 Positions come from the pieces between matches: the lengths of the pieces and matches before a match
 add up to where it starts, in code points.
@@ -12,56 +13,44 @@ add up to where it starts, in code points.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casemill.llm.common import stage, text_of
+from casemill.llm.regex_trigrams import derive
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``pattern`` for Java; ``words`` are the alternatives, one of which every match contains.
-
-    Of a match, ``group`` must have ``least`` characters at least, or the match is dropped. In words,
-    a character before "?" may be missing. ``folded``: letters match in either case.
-    """
+    """``pattern`` for Java. Of a match, ``group`` must have ``least`` characters at least, or the match is dropped."""
 
     kind: str
     pattern: str
     group: int = 0
     least: int = 1
-    words: tuple[str, ...] = ()
-    folded: bool = False
 
-    def queries(self) -> list[frozenset[str]]:
-        """The trigrams of each alternative; none if an alternative has no trigram."""
-        plain = [w for word in self.words for w in _spelled(word)]
-        found = [frozenset(w[i : i + 3] for i in range(len(w) - 2)) for w in plain]
-        return found if found and all(found) else []
+    @property
+    def folded(self) -> bool:
+        """Whether the trigrams are looked up in the lower-case text."""
+        return derive(self.pattern)[0]
 
-
-def _spelled(word: str) -> list[str]:
-    parts, i = [], 0
-    while i < len(word):
-        maybe = word[i + 1 : i + 2] == "?"
-        parts.append(["", word[i]] if maybe else [word[i]])
-        i += 2 if maybe else 1
-    return ["".join(p) for p in product(*parts)]
+    def queries(self) -> list[frozenset[str]]:
+        """The trigrams of each alternative; none if a match need not hold any."""
+        return derive(self.pattern)[1]
 
 
 # The three base rules, then common published key formats.
 BASE = (
     Rule("assign", r"""(?i:(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+))""",
-         group=2, least=8, words=("password", "passwd", "secret", "token", "api_?key"), folded=True),
-    Rule("access", r"AKIA[A-Z0-9]+", least=16, words=("AKIA",)),
+         group=2, least=8),
+    Rule("access", r"AKIA[A-Z0-9]+", least=16),
     Rule("hex", r"[0-9a-f]+", least=32),
 )
 ADDED = (
-    Rule("github", r"gh[pousr]_[A-Za-z0-9]+", least=40, words=("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
-    Rule("slack", r"xox[abprs]-[A-Za-z0-9-]+", least=15, words=("xoxa-", "xoxb-", "xoxp-", "xoxr-", "xoxs-")),
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", words=("-----BEGIN ",)),
+    Rule("github", r"gh[pousr]_[A-Za-z0-9]+", least=40),
+    Rule("slack", r"xox[abprs]-[A-Za-z0-9-]+", least=15),
+    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
 )
 RULES = BASE + ADDED
 

@@ -9,6 +9,7 @@ import pytest
 
 from casemill.llm import byte_bpe, exact_dedup, fingerprints, mixing, near_dedup, page_text, secret_scan, substring_dedup, toxicity, warc
 from casemill.llm.queries import vocabulary
+from casemill.llm.regex_trigrams import derive
 
 ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 #: Names that the operators use inside must do no harm as columns of the input.
@@ -218,9 +219,51 @@ def test_secrets(spark):
 
 
 def test_trigram_queries():
-    queries = {r.kind: r.queries() for r in secret_scan.RULES}
-    assert frozenset({"sec", "ecr", "cre", "ret"}) in queries["assign"] and frozenset({"api", "pik", "ike", "key"}) in queries["assign"]
-    assert queries["access"] == [frozenset({"AKI", "KIA"})] and queries["hex"] == []
+    def grams(word):
+        return frozenset(word[i : i + 3] for i in range(len(word) - 2))
+
+    want = {
+        "assign": [grams(w) for w in ("password", "passwd", "secret", "token", "api_key", "apikey")], "access": [grams("AKIA")], "hex": [],
+        "github": [grams(f"gh{c}_") for c in "pousr"], "slack": [grams(f"xox{c}-") for c in "abprs"],
+        "pem": [grams("-----BEGIN ") | grams("PRIVATE KEY-----")],
+    }
+    assert {r.kind: set(r.queries()) for r in secret_scan.RULES} == {k: set(v) for k, v in want.items()}
+    assert [r.kind for r in secret_scan.RULES if r.folded] == ["assign"]
+    derived = {
+        "abc": [grams("abc")], "ab[cd]e": [grams("abce"), grams("abde")], "(?:abc)?def": [grams("def")], "(abc|de)": [], "x{3}": [grams("xxx")],
+        "(?:ab){2,}": [grams("abab")], "abc.*def": [grams("abc") | grams("def")], "(?:abc|abcd)e": [grams("abce"), grams("abcde")],
+        "(?<name>abc)\\k<name>": [], "(?i)AbC": [grams("abc")], "a+bc": [grams("abc")], "^abc$": [grams("abc")],
+    }
+    assert {p: set(derive(p)[1]) for p in derived} == {p: set(q) for p, q in derived.items()}
+
+
+def test_derived_queries_lose_no_match():
+    rnd = random.Random(12)
+
+    def pattern(depth=3):
+        kind = rnd.randrange(10) if depth else 0
+        if kind < 3:
+            return "".join(rnd.choice("abcd") for _ in range(rnd.randint(1, 5)))
+        if kind < 5:
+            return pattern(depth - 1) + pattern(depth - 1)
+        if kind < 6:
+            return f"(?:{pattern(depth - 1)}|{pattern(depth - 1)})"
+        if kind < 7:
+            return f"(?:{pattern(depth - 1)}){rnd.choice('? * + {2} {1,3} {5} {6,} +?'.split())}"
+        if kind < 8:
+            return f"[{''.join(rnd.sample('abcdef', rnd.randint(1, 3)))}]"
+        return rnd.choice([".", "[a-z]", "[^a]", "\\b", "(?=a)", "\\w"]) if kind < 9 else f"(?i:{pattern(depth - 1)})"
+
+    asked = 0
+    for _ in range(4000):
+        folded, query = derive(p := pattern())
+        for _ in range(8):
+            text = "".join(rnd.choice("abcdABe") for _ in range(rnd.randint(0, 30)))
+            if query and re.search(p, text):
+                asked += 1
+                seen = text.lower() if folded else text
+                assert any(all(g in seen for g in one) for one in query), (p, text)
+    assert asked > 100
 
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p><p>no";</script></head><body class="with-sidebar">
@@ -245,7 +288,7 @@ def test_page_text(spark):
 def test_legal_markup():
     main_text = page_text.main_text
     article = "<article><p>One</p><p>Two</p></article>"
-    assert main_text("<article><p>One <svg width='1'/>1</p><math/><p>Two</p></article>") == "One\n1\nTwo"
+    assert main_text("<article><p>One <svg width='1'/>1</p><math/><p>Two</p></article>") == "One 1\nTwo"
     assert main_text("<article><svg><text>no</text></svg><p>One</p></article>") == "One"
     for round_ in ("div class='layout right-sidebar'", "div id='search'", "form id='f'"):
         end = round_.split()[0]
@@ -260,6 +303,28 @@ def test_legal_markup():
     assert main_text(plain).split("\n") == [long.strip(), "The report", long.strip()]
 
 
+def test_blocks_stay_whole_and_short_lines_stay():
+    main_text, long = page_text.main_text, ("long word " * 30).strip()
+    assert main_text(f"<h1>Title</h1><p>Short intro.</p><p>{long}</p>") == f"Title\nShort intro.\n{long}"
+    assert main_text(f"<ul><li>Home</li></ul><p><a>Top</a></p><p>Short intro.</p><p>{long}</p>") == f"Short intro.\n{long}"
+    assert main_text(f"<div id='banner-history'><p>{long}</p></div><div class='ad'>Buy this</div>") == long
+    assert main_text(f"<div class='sidebar'>{long}</div><div class='ad'>{long}</div><p>{long}</p>") == long
+    assert main_text("<article><p>see <button>this</button> now</p></article>") == "see now"
+    assert main_text("<article><p>Energy <math><mi>E</mi></math> end</p></article>") == "Energy E end"
+    assert main_text("<article><p>a <svg/>b <script>x()</script>c <my-mark>d</my-mark></p>e</article>") == "a b c d\ne"
+
+
+@pytest.mark.parametrize(
+    "page", ["<div>" * 100_000, "<b>" * 50_000 + "<p></p>" * 50_000, "<article>" + "<div id=ad>x" * 50_000, "<i>" * 50_000 + "</y></i>" * 50_000]
+)
+def test_deep_pages_take_linear_time(page):
+    import time
+
+    began = time.process_time()
+    page_text.main_text(page)
+    assert time.process_time() - began < 4
+
+
 def test_archives(spark, tmp_path):
     pages = [(k, f"http://x/{k}", f"<p>{k % 7}</p>\r\n\r\n" * (k % 7 + 1)) for k in range(60)]
     pages += [(60, None, None), (61, "u\r\nX: y", ""), (62, "z", "€" * 100000), (None, "n", "<p>1</p>\r\n\r\n" * 2), (62, "z", "€" * 100000)]
