@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from casemill.llm.common import stage, text_of, trimmed
 
 #: Pieces of at most so many characters are remembered, in two generations of so many.
-REMEMBER_CHARS, REMEMBER = 48, 125_000
+REMEMBER_CHARS, REMEMBER = 48, 300_000
 #: Ranks in one word of the bitmap's lower level, as a power of two.
 WORD = 8
 
@@ -48,7 +48,7 @@ class Encoder:
         self._ranks = ranks
         self._longest = max(map(len, ranks), default=1)
         # Ranks of all pairs of bytes, at 256 times the first plus the second.
-        self._two = [ranks.get(bytes((a, b))) for a in range(256) for b in range(256)]
+        self._two = [ranks.get(bytes((a, b)), -1) for a in range(256) for b in range(256)]
         # The lower level of the bitmap, all zero between pieces.
         self._words = [0] * ((max(ranks.values(), default=0) >> WORD) + 1)
         self._pieces = regex.compile(pattern).findall
@@ -63,35 +63,44 @@ class Encoder:
         whole = rank_of(piece)
         if whole is not None:
             return [whole]
-        n = len(piece)
-        after = list(range(1, n + 1)) + [n + 1]  # where the next part begins
+        n, two = len(piece), self._two
+        waits = [two[a << 8 | b] for a, b in pairwise(piece)]  # the rank under which a position waits, -1: none
+        if max(waits) < 0:
+            return [rank_of(piece[i : i + 1]) for i in range(n)]
+        waits.append(-1)
+        after = list(range(1, n + 2))  # where the next part begins
         before = list(range(-1, n))
-        waits = [-1] * (n + 1)  # the rank under which a position waits, -1: none
-        buckets: dict[int, list[int]] = {}  # heaps, so that the leftmost position comes first
+        # One position as a number, several as a heap, so that the leftmost comes first.
+        buckets: dict[int, int | list[int]] = {}
         top = 0  # the upper level: a bit for every word that is not zero
         mask = (1 << WORD) - 1
-        fresh = enumerate([self._two[a << 8 | b] for a, b in pairwise(piece)])
+        fresh = enumerate(waits)
         while True:
             for i, rank in fresh:
-                if rank is None:
-                    waits[i] = -1
+                if rank < 0:
                     continue
-                waits[i] = rank
-                if rank in buckets:
-                    heapq.heappush(buckets[rank], i)
-                else:
-                    buckets[rank] = [i]
+                held = buckets.get(rank)
+                if held is None:
+                    buckets[rank] = i
                     word = rank >> WORD
                     top |= 1 << word
                     words[word] |= 1 << (rank & mask)
+                elif type(held) is int:
+                    buckets[rank] = [held, i] if held < i else [i, held]
+                else:
+                    heapq.heappush(held, i)
             # The lowest rank with a position that still waits under it.
             while top:
                 word = (top & -top).bit_length() - 1
                 bits = words[word]
                 rank = word << WORD | (bits & -bits).bit_length() - 1
-                bucket = buckets[rank]
-                i = heapq.heappop(bucket)
-                if not bucket:
+                i = buckets[rank]
+                if type(i) is not int:
+                    held = i
+                    i = heapq.heappop(held)
+                    if len(held) == 1:
+                        buckets[rank] = held[0]
+                else:
                     del buckets[rank]
                     words[word] = bits = bits & (bits - 1)
                     if not bits:
@@ -104,14 +113,20 @@ class Encoder:
             end = after[gone]
             after[i] = end
             waits[gone] = -1
-            before[end] = i
-            stop = after[end]  # beyond the piece if nothing follows
-            right = i, rank_of(piece[i:stop]) if stop <= n and stop - i <= longest else None
             left = before[i]
+            ranked = -1
+            if end < n:
+                before[end] = i
+                stop = after[end]
+                if stop - i <= longest:
+                    ranked = rank_of(piece[i:stop], -1)
+            waits[i] = ranked
             if left >= 0:
-                fresh = right, (left, rank_of(piece[left:end]) if end - left <= longest else None)
+                before_it = rank_of(piece[left:end], -1) if end - left <= longest else -1
+                waits[left] = before_it
+                fresh = (i, ranked), (left, before_it)
             else:
-                fresh = (right,)
+                fresh = ((i, ranked),)
         ids, i = [], 0
         while i < n:
             ids.append(rank_of(piece[i : after[i]]))
@@ -137,25 +152,57 @@ class Encoder:
             return b"".join([newer.get(p) or self._packed(p) for p in pieces])
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
-    """Per row ``doc_id, n_tokens, ids``; ``ids`` are little-endian unsigned 32-bit numbers.
+class Decoder:
+    """Bytes of token ids, gathered for many texts at once."""
 
-    Null and empty texts have no ids. Texts are whole; no special tokens. The ranks are a vocabulary
-    of fixed size, read by the driver and broadcast.
-    """
+    def __init__(self, ranks: dict[bytes, int]):
+        tokens = [b""] * (max(ranks.values(), default=-1) + 1)
+        for token, rank in ranks.items():
+            tokens[rank] = token
+        self._tokens = pa.array(tokens, pa.large_binary())
+
+    def decode(self, ids: list[bytes]) -> list[bytes]:
+        taken = self._tokens.take(pa.array(np.frombuffer(b"".join(ids), "<u4")))
+        if not len(taken):
+            return [b""] * len(ids)
+        # The bytes of all tokens stand one after the other.
+        ends = np.frombuffer(taken.buffers()[1], np.int64)[taken.offset :]
+        data, out, at = memoryview(taken.buffers()[2]), [], 0
+        for one in ids:
+            stop = at + len(one) // 4
+            out.append(bytes(data[ends[at] : ends[stop]]))
+            at = stop
+        return out
+
+
+def _run(docs: DataFrame, ranks: dict[bytes, int], pattern: str, decoded: bool) -> DataFrame:
     stage(docs.sparkSession)
     # The second entry stays empty here; a worker process fills its own copy and uses it for all its tasks.
     shared = docs.sparkSession.sparkContext.broadcast((ranks, [{}, {}]))
+    names = ["doc_id", "n_tokens", "ids", "decoded"][: 4 if decoded else 3]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value[0], pattern, shared.value[1])
+        decoder = Decoder(shared.value[0]) if decoded else None
         for batch in batches:
             ids = [encoder.encode(t) if t else b"" for t in batch.column("text").to_pylist()]
-            counts = pa.array([len(x) // 4 for x in ids], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), counts, pa.array(ids, pa.binary())], ["doc_id", "n_tokens", "ids"])
+            columns = [batch.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
+            if decoder:
+                columns.append(pa.array(decoder.decode(ids), pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", text_of().alias("text")).mapInArrow(trimmed(run), f"doc_id {id_type}, n_tokens long, ids binary")
+    types = ", ".join(f"{n} {t}" for n, t in zip(names, (id_type, "long", "binary", "binary")))
+    return docs.select("doc_id", text_of().alias("text")).mapInArrow(trimmed(run), types)
+
+
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
+    """Per row ``doc_id, n_tokens, ids``; ``ids`` are little-endian unsigned 32-bit numbers.
+
+    Null and empty texts have no ids. Texts are whole; no special tokens. The ranks are a vocabulary
+    of fixed size, read by the driver and broadcast.
+    """
+    return _run(docs, ranks, pattern, decoded=False)
 
 
 def decoder(spark, ranks: dict[bytes, int]):
@@ -164,15 +211,14 @@ def decoder(spark, ranks: dict[bytes, int]):
 
     @F.arrow_udf("binary")
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        token = {rank: piece for piece, rank in shared.value.items()}.__getitem__
+        tokens = Decoder(shared.value)
         for column in columns:
-            out = [None if x is None else b"".join(map(token, np.frombuffer(x, "<u4").tolist())) for x in column.to_pylist()]
-            yield pa.array(out, pa.binary())
+            found = tokens.decode(column.fill_null(b"").to_pylist())
+            yield pa.array([None if gone else x for gone, x in zip(column.is_null().to_pylist(), found, strict=True)], pa.binary())
 
     return run
 
 
 def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
-    """``encode`` with ``decoded``: the bytes of the ids, which equal the text's."""
-    decode = decoder(docs.sparkSession, ranks)
-    return encode(docs, ranks, pattern).withColumn("decoded", decode("ids"))
+    """``encode`` with ``decoded``: the bytes of the ids, which equal the text's, from the same pass."""
+    return _run(docs, ranks, pattern, decoded=True)
