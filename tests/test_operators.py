@@ -299,3 +299,17 @@ def test_params_are_checked():
     for bad in ({"max_document_chars": 499}, {"grounding_max_corrections": -1}, {"max_attempts": 0}, {"max_file_size_mb": 0}):
         with pytest.raises(ParamError):
             Params(**bad)
+
+
+def test_leaks_of_values_with_a_common_beginning(spark):
+    """Ten thousand values and all texts share a beginning; only the rest of a value tells."""
+    values = spark.range(10_000).select(F.col("id").cast("string").alias("k"), F.format_string("COMMON-PREFIX-%06d", "id").alias("v"))
+    held = F.when(F.col("id") % 4 == 0, F.format_string("COMMON-PREFIX-%06d", F.col("id") * 3)).otherwise(F.lit("COMMON-PREFIX-"))
+    texts = spark.range(400).select("id", F.concat(F.repeat(F.lit("x"), (F.col("id") % 7).cast("int")), held, F.lit(" COMMON-PREFIX-none")).alias("t"))
+    got = quality.known_value_leaks(texts, "id", "t", values, "k", "v")
+    assert sorted((r.id, int(r.key)) for r in got.collect()) == [(i, 3 * i) for i in range(0, 400, 4)]
+    marks = texts.selectExpr("explode(transform(sequence(1, length(t) - 7), i -> xxhash64(substring(t, i, 8)))) m")
+    counts = marks.groupBy(F.pmod("m", F.lit(quality.MARK_BUCKETS)).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    wanted = values.selectExpr("k as key", "v as value")
+    chosen = quality.rarest_marks(wanted, counts).filter("mark = xxhash64('COMMON-P')")
+    assert chosen.isEmpty() and quality.rarest_marks(wanted, counts).count() == 50_000
