@@ -51,20 +51,21 @@ def wrapped(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))
 
 
-#: Bits of the map in ``reduced``: 256 pieces of 4 KB, 1 MB in all whatever the data.
-MAP_BITS, _PIECE = 1 << 23, 32768
+#: Bits of the map in ``reduced``: for each key so many, within these bounds (1 to 64 MB), in pieces of 4 KB.
+BITS_PER_KEY, LEAST_BITS, MOST_BITS, _PIECE = 16, 1 << 23, 1 << 29, 32768
 
 
 def reduced(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
-    """``rows`` without most of those whose ``key`` is not in ``wanted``: a step before a join.
+    """``rows`` without most of those whose ``key`` is not in ``wanted``, a written table: a step before a join.
 
-    The hashes of the wanted keys set bits of a map of fixed size, which goes to every task; rows
-    whose bit is not set cannot join, so they need not be shuffled. The more keys, the fewer rows it
-    spares; the join after it decides.
+    The hashes of the wanted keys set bits of a map, which goes to every task; rows whose bit is not set
+    cannot join, so they need not be shuffled. The map grows with the number of keys up to 64 MB; beyond
+    some 30 million keys it spares fewer rows. The join after it decides.
     """
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_PER_KEY * wanted.count()).bit_length()))
 
     def bit(column: Column) -> Column:
-        return F.pmod(F.xxhash64(column), F.lit(MAP_BITS))
+        return F.pmod(F.xxhash64(column), F.lit(bits))
 
     marks = wanted.select(bit(F.col(key)).alias("_bit"))
     pieces = marks.groupBy(F.floor(F.col("_bit") / _PIECE).alias("_piece")).agg(

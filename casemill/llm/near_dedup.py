@@ -20,8 +20,8 @@ No step makes a row for every pair of a group of near copies:
 * classes close to one centre are kept as their differences from it, a small part of their sets. Those
   that the centre does not link are compared with all others of that centre, exactly and block by
   block, since |A and B| follows from the differences; a block returns spanning links only;
-* what is left are pairs of a key that are close to no common centre and still in different components.
-  They are joined as above, each pair at the first key it shares. No link between components is lost.
+* what is left are pairs of a key, one of them far from its centre, that are close to no common centre and
+  still in different components. They are joined as above, each pair at the first key it shares. No link between components is lost.
 """
 
 from __future__ import annotations
@@ -361,12 +361,14 @@ def class_components(docs: DataFrame, rows: DataFrame, written) -> DataFrame:
     close_to = near.groupBy(F.col("a").alias("close")).agg(F.collect_set("b").alias("centres"))
     a_side = side("a").join(close_to, F.col("a") == F.col("close"), "left")
     a_side = a_side.withColumn("ac_to", F.array_append(F.coalesce("centres", F.array().cast("array<long>")), F.col("a")))
+    # Two classes close to the centre of a key were compared there, so one of a pair is far from it.
+    far = (~F.array_contains("ac_to", F.col("centre"))).alias("a_far")
     own = mixed.join(a_side, F.col("cid") == F.col("a"))
-    own = written.write(own.select("key", "at", "a", "an", "ax", "ay", F.col("component").alias("ac"), "ac_to"))
-    other = own.select(F.col("key").alias("key_b"), *[F.col(f"a{c}").alias(f"b{c}") for c in ("", "n", "x", "y", "c", "c_to")])
-    apart = (F.col("key") == F.col("key_b")) & (F.col("a") > F.col("b")) & (F.col("ac") != F.col("bc"))
+    own = written.write(own.select("key", "at", "a", "an", "ax", "ay", F.col("component").alias("ac"), "ac_to", far))
+    other = own.select(F.col("key").alias("key_b"), *[F.col(f"a{c}").alias(f"b{c}") for c in ("", "n", "x", "y", "c", "c_to", "_far")])
+    apart = (F.col("key") == F.col("key_b")) & (F.col("ac") != F.col("bc")) & (~F.col("b_far") | (F.col("a") > F.col("b")))
     once_only = _may_link("a", "b") & ~F.arrays_overlap("ac_to", "bc_to") & _first_shared("a", "b")
-    pairs = own.join(other, apart & once_only).select("a", "b")
+    pairs = own.filter("a_far").join(other, apart & once_only).select("a", "b")
     more = compared(written.write(pairs), docs, classes, written).filter("linked").select("a", "b")
     if more.isEmpty():
         return found
