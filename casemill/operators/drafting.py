@@ -35,7 +35,7 @@ def template_email(record: Column, params: Params) -> Column:
 
     name = record["customer_name"]
     who = F.when(name == V.NOT_PROVIDED, F.lit("Customer")).otherwise(name)
-    ref = given("reference_number", " (reference ", ")")
+    ref = given("reference_number", ", number ")
     closing = f"\n\n{V.REPLY_CLOSING}\n\n{V.REPLY_SIGN_OFF}\n{params.email_signature or 'Customer Care Team'}"
     body = F.concat(
         F.lit("Dear "), who, F.lit(f",\n\n{V.REPLY_OPENING}"), ref, F.lit(V.REPLY_CONCERN),

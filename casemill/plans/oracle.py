@@ -212,7 +212,7 @@ def _case(column: str, table: dict[str, str], default: str = "NULL") -> str:
 
 
 def templates(source: str) -> str:
-    ref = f"CASE WHEN reference_number = {NP} THEN '' ELSE ' (reference ' || reference_number || ')' END"
+    ref = f"CASE WHEN reference_number = {NP} THEN '' ELSE ', number ' || reference_number END"
     greeting = f"CASE WHEN customer_name = {NP} THEN 'Dear Customer,' ELSE 'Dear ' || customer_name || ',' END"
     resolution = f"CASE WHEN resolution_provided = {NP} THEN '' ELSE {q(V.REPLY_RESOLUTION)} || resolution_provided END"
     end = lines(f"\n\n{V.REPLY_CLOSING}\n\n{V.REPLY_SIGN_OFF}\n{PARAMS.email_signature}")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,3 +54,19 @@ class Stage:
         """Delete this stage's own tables once the final outputs are written."""
         path = self._spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
         path.getFileSystem(self._spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def drop_old_stages(spark: SparkSession, hours: float) -> int:
+    """Delete stage folders in the shared folder that were last written more than ``hours`` ago; returns how many.
+
+    Queries return tables that are read later, so they cannot delete what they have written themselves.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    oldest, dropped = (time.time() - hours * 3600) * 1000, 0
+    folders = system.listStatusIterator(path) if system.exists(path) else None
+    while folders is not None and folders.hasNext():
+        folder = folders.next()
+        if folder.isDirectory() and folder.getPath().getName().startswith("casemill-") and folder.getModificationTime() < oldest:
+            dropped += system.delete(folder.getPath(), True)
+    return dropped

@@ -313,3 +313,18 @@ def test_leaks_of_values_with_a_common_beginning(spark):
     wanted = values.selectExpr("k as key", "v as value")
     chosen = quality.rarest_marks(wanted, counts).filter("mark = xxhash64('COMMON-P')")
     assert chosen.isEmpty() and quality.rarest_marks(wanted, counts).count() == 50_000
+
+
+def test_old_stages_are_dropped(spark):
+    import os
+    from casemill.session import drop_old_stages, shared_dir
+
+    old, new = Stage(spark), Stage(spark)
+    for stage in (old, new):
+        stage.write(spark.range(1))
+    place = shared_dir(spark).removeprefix("file:")
+    name = old.root.rsplit("/", 1)[1]
+    os.utime(f"{place}/{name}", (0, 0))
+    assert drop_old_stages(spark, hours=10_000) >= 1
+    assert not os.path.exists(f"{place}/{name}") and os.path.exists(f"{place}/{new.root.rsplit('/', 1)[1]}")
+    new.release()
