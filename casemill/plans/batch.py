@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casemill.functions import classify, prompts
-from casemill.operators import assemble, drafting, grounding, report, verify
+from casemill.operators import assemble, drafting, grounding, report, run_state, verify
 from casemill.operators.asking import Answers, Model
 from casemill.params import Params, RunMeta
 from casemill.session import Stage
@@ -161,6 +161,7 @@ def run(
     meta = replace(meta, processed_at=meta.processed_at or meta.started_at)
     sinks.write_documents(results, meta, out_dir, clean)
     sinks.write_report(results, out_dir)
+    run_state.write_partials(results, meta, out_dir)
     elapsed = time.perf_counter() - started
     finished = datetime.now(timezone.utc).isoformat(timespec="seconds")
     sinks.write_run_summary(results, meta, elapsed, finished, out_dir)

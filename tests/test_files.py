@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from casemill.operators import assemble, quality, report
+from casemill.operators import assemble, quality, report, run_state
 from casemill.params import Params, RunMeta
 from casemill.plans import batch
 from casemill.plans.fixtures import docx_bytes
@@ -96,6 +96,10 @@ def test_run_over_a_folder(spark, folder, tmp_path):
     assert run.counters == totals
     again = batch.run(spark, str(folder), out, PARAMS, clean=False)
     assert readback.listing_of_outputs(spark, out, again.meta.run_id).count() == 15
+    stored = run_state.read_partials(spark, out)
+    both = run_state.merged_totals(stored).first().asDict()
+    assert both.pop("runs") == 2 and both.pop("senders") == 1 and both == {k: 2 * v for k, v in totals.items()}
+    assert sum(r.documents for r in run_state.merged_value_counts(stored).collect()) == 30
     assert readback.read_structured(spark, f"{out}/structured_data").count() == 10 and again.meta.run_id != run.meta.run_id
 
 
