@@ -554,3 +554,45 @@ def test_large_groups_of_edited_copies(spark, monkeypatch, edits):
                 root[max(top(a), top(b))] = min(top(a), top(b))
     got = {r.doc_id: r.component_id for r in near_dedup.near_groups(spark.createDataFrame(found, "doc_id long, text string")).collect()}
     assert got == {k: top(k) for k in range(len(sets))}
+
+
+def test_toxicity_weights_equal_a_plain_loop():
+    import math
+
+    import numpy as np
+    import pandas as pd
+
+    rnd = random.Random(9)
+    rows = [(rnd.randrange(10**6), int(k % 4 == 0), sorted(rnd.sample(range(12), 5)) + ([20] if k % 4 == 0 else [])) for k in range(80)]
+    got = toxicity._learn(pd.DataFrame(rows, columns=["ord", "label", "at"]))
+    const, z, n = toxicity.DIMENSIONS, {}, {}
+    l1 = toxicity.L1_SHARE * math.sqrt(sum(r[1] for r in rows))
+
+    def weight(i):
+        a, limit = z.get(i, 0.0), 0.0 if i == const else l1
+        if abs(a) <= limit:
+            return 0.0
+        return -(a - math.copysign(limit, a)) / ((toxicity.BETA + math.sqrt(n.get(i, 0.0))) / toxicity.ALPHA + toxicity.L2)
+
+    for _ in range(toxicity.EPOCHS):
+        for _, y, at in sorted(rows, key=lambda r: r[:2]):
+            w = {i: weight(i) for i in [*at, const]}
+            g = (1 / (1 + math.exp(-sum(w.values()))) - y) * (toxicity.ONES_WEIGHT if y else 1.0)
+            for i in w:
+                old = n.get(i, 0.0)
+                z[i] = z.get(i, 0.0) + g - (math.sqrt(old + g * g) - math.sqrt(old)) / toxicity.ALPHA * w[i]
+                n[i] = old + g * g
+    want = {i: weight(i) for i in z if weight(i)}
+    assert got["at"].tolist() == sorted(want) and np.allclose(got["w"], [want[i] for i in sorted(want)])
+
+
+def test_toxicity_of_awkward_rows(spark):
+    """A very long text, names that the operator uses inside, repeated rows and ids."""
+    texts = ["nice calm words here", "you awful rotten pest", None, "", "word " * 200_000]
+    rows = [(k, texts[k % 2] + f" {k % 5}", "x", 1, 0.5, "y") for k in range(60)] + [(100 + k, t, "x", 1, 0.5, "y") for k, t in enumerate(texts)]
+    docs = spark.createDataFrame([*rows, rows[0], rows[0]], "doc_id long, text string, label string, ord int, score double, _id string")
+    labels = spark.createDataFrame([(k, k % 2, None) for k in range(60)], "doc_id long, toxic int, text string")
+    got = toxicity.scored(docs, labels).collect()
+    assert len(got) == len(rows) + 2 and all(0 <= r.score <= 1 for r in got)
+    assert len({r.score for r in got if r.doc_id == 0}) == 1 and len({r.score for r in got if r.doc_id in (102, 103)}) == 1
+    assert toxicity.without_toxic(docs, labels).columns == docs.columns
