@@ -28,16 +28,21 @@ def partials(results: DataFrame, run_id: Column | str) -> DataFrame:
     run = F.lit(run_id) if isinstance(run_id, str) else run_id
     sender = F.nullif(F.coalesce("extraction.email", F.lit(V.NOT_PROVIDED)), F.lit(V.NOT_PROVIDED))
     narrow = report.narrow(results, run.alias("run_id"), sender.alias("sender"))
-    sets = [[F.col("run_id"), F.col(a)] for a in names] + [[F.col("run_id")]]
-    grouped = narrow.groupingSets(sets, "run_id", *names).agg(
-        F.grouping_id().alias("gid"), F.count_if("has_record").alias("documents"), F.min("place").alias("first_place"),
+    # Rows are aggregated once, by all values together; what is grouped again for each attribute are the few rows left of that.
+    whole = narrow.groupBy("run_id", *names).agg(
+        F.count_if("has_record").alias("documents"), F.min("place").alias("first_place"),
         F.hll_sketch_agg("sender").alias("senders"), *report.scalars(),
     )
+    counts = [c for c in whole.columns if c not in ("run_id", "first_place", "senders", *names)]
+    sets = [[F.col("run_id"), F.col(a)] for a in names] + [[F.col("run_id")]]
+    grouped = whole.groupingSets(sets, "run_id", *names).agg(
+        F.grouping_id().alias("gid"), F.min("first_place").alias("first_place"),
+        F.hll_union_agg("senders").alias("senders"), *[F.sum(c).alias(c) for c in counts],
+    )
     every = grouped.withColumns({"attribute": F.coalesce(report.attribute(), F.lit(TOTAL)), "value": F.coalesce(*names)})
     # Documents without a record have no value.
     kept = every.filter(f"attribute = '{TOTAL}' OR value IS NOT NULL")
-    whole = [c for c in kept.columns if c not in ("run_id", "gid", "attribute", "value", "documents", "first_place", *names)]
-    totals = [F.when(F.col("attribute") == TOTAL, F.col(c)).alias(c) for c in whole]
+    totals = [F.when(F.col("attribute") == TOTAL, F.col(c)).alias(c) for c in ("senders", *counts) if c != "documents"]
     return kept.select("run_id", "attribute", "value", "documents", "first_place", *totals)
 
 
