@@ -57,3 +57,29 @@ def test_a_failure_that_is_no_answer_ends_the_asking():
 
 def test_no_rows():
     assert answers(None, [], 3) == []
+
+
+def test_prompts_are_digested_where_the_rows_are_written_and_nowhere_else(spark):
+    from pyspark.sql import functions as F
+
+    from casemill.operators import drafting
+    from casemill.plans import batch
+    from casemill.session import Stage
+
+    def model(system, user):
+        import json
+
+        return {"raw": json.dumps({"subject": "s", "body": "We have read your letter with care and will come back to you."})}
+
+    odd = [("a", "Name: Lena Brandt\nMy order never came."), ("a", "Name: Lena Brandt\nMy order never came."), ("b", "short"), (None, None)]
+    stage = Stage(spark)
+    rows = batch.process_table(spark.createDataFrame(odd, "doc_id string, t string"), "doc_id", "t", generation_model=model, stage=stage)
+    assert "sha2" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert {f"_{task.name}_key" for task in drafting.TASKS} <= set(spark.read.parquet(f"{stage.root}/0001").columns)
+    found = sorted((str(r.doc_id), r.status, r.email is not None) for r in rows.collect())
+    assert found == [("None", "FAILED", False), ("a", "PARTIAL", True), ("a", "PARTIAL", True), ("b", "FAILED", False)]
+    assert not [c for c in rows.columns if c.startswith("_")]
+    stage.release()
+    some = spark.createDataFrame([("s", "u")], "_system string, _user string")
+    plan = asking.asked(some, model, F.lit(1), None)._jdf.queryExecution().optimizedPlan().toString()
+    assert "sha2" not in plan
